@@ -148,3 +148,87 @@ WHERE z_score IS NOT NULL AND (z_score > 2.0 OR z_score < -2.0)"""))
 def anomaly_detection(spark, sf_dir):
     """O-28, O-37, O-39."""
     return A.anomaly_detection(obs(spark, sf_dir))
+
+
+# ----------------------------------------------------------- enrichment --
+
+from stratus.operators import enrich as EN  # noqa: E402
+from stratus.plans import models as M  # noqa: E402
+from stratus.plans.oracle import (  # noqa: E402
+    HEAT_DUCK, MART_SELECT_DUCK, REPLAY_DEDUP_CTES, STAGING_DUCK, TEMP_BAND_DUCK,
+    WIND_STREAM_DUCK, mart_duck, mode_sql)
+
+
+@register("temperature_category", with_obs(
+    f"SELECT kafka_offset, temperature, {TEMP_BAND_DUCK} AS temperature_category FROM obs"))
+def temperature_category(spark, sf_dir):
+    """O-17."""
+    return EN.add_temperature_category(obs(spark, sf_dir)).select(
+        "kafka_offset", "temperature", "temperature_category")
+
+
+@register("heat_index", with_obs(
+    f"SELECT kafka_offset, temperature, humidity, {HEAT_DUCK} AS heat_index FROM obs"))
+def heat_index_q(spark, sf_dir):
+    """O-18."""
+    from pyspark.sql import functions as F
+    return (EN.add_heat_index(obs(spark, sf_dir))
+            .select("kafka_offset", "temperature", "humidity", (F.col("heat_index") + 0.0).alias("heat_index")))
+
+
+@register("wind_category_stream", with_obs(
+    f"SELECT kafka_offset, wind_speed, {WIND_STREAM_DUCK} AS wind_category FROM obs"))
+def wind_category_stream(spark, sf_dir):
+    """O-19a."""
+    return EN.add_wind_category(obs(spark, sf_dir)).select("kafka_offset", "wind_speed", "wind_category")
+
+
+@register("dedup_city_time", with_obs("SELECT * FROM dedup", REPLAY_DEDUP_CTES))
+def dedup_city_time(spark, sf_dir):
+    """O-45: table + full replay, one row per (city, recorded_at), earliest offset wins."""
+    return EN.deduplicate(EN.with_replay(obs(spark, sf_dir)))
+
+
+@register("enrich_batch", with_obs(f"""
+SELECT *, {TEMP_BAND_DUCK} AS temperature_category, {HEAT_DUCK} AS heat_index,
+       {WIND_STREAM_DUCK} AS wind_category, '1.0.0' AS pipeline_version
+FROM dedup""", REPLAY_DEDUP_CTES))
+def enrich_batch(spark, sf_dir):
+    """O-24, O-25: dedup -> bands -> heat index -> wind band -> lineage (processed_at left out)."""
+    from pyspark.sql import functions as F
+    out = EN.transform_batch(EN.with_replay(obs(spark, sf_dir)))
+    return out.drop("processed_at").withColumn("heat_index", F.col("heat_index") + 0.0)
+
+
+# ----------------------------------------------------------- SQL models --
+
+@register("staging_weather", with_obs("SELECT * FROM stg", f"stg AS ({STAGING_DUCK.format(source='obs')})"))
+def staging_weather(spark, sf_dir):
+    """O-26, O-27, O-29, O-19c."""
+    return M.staging(obs(spark, sf_dir))
+
+
+@register("mart_city_weather_summary", with_obs(
+    MART_SELECT_DUCK, f"stg AS ({STAGING_DUCK.format(source='obs')}),\n" + mart_duck("stg")))
+def mart_city_weather_summary(spark, sf_dir):
+    """O-43, O-44, O-49: daily city summary, 21 columns."""
+    return M.mart(M.staging(obs(spark, sf_dir)))
+
+
+_DOM_KEYS = ["city", "country"]
+
+
+@register("dominant_conditions", with_obs("""
+SELECT c.city, c.country, m1.dominant_weather_condition, m2.dominant_temperature_category,
+       m3.dominant_wind_category, c.record_count
+FROM (SELECT city, country, COUNT(*) AS record_count FROM stg GROUP BY city, country) c
+LEFT JOIN m1 ON c.city = m1.city AND c.country = m1.country
+LEFT JOIN m2 ON c.city = m2.city AND c.country = m2.country
+LEFT JOIN m3 ON c.city = m3.city AND c.country = m3.country""",
+    f"stg AS ({STAGING_DUCK.format(source='obs')}),\n"
+    f"m1 AS ({mode_sql(_DOM_KEYS, 'weather_condition', 'stg', 'dominant_weather_condition')}),\n"
+    f"m2 AS ({mode_sql(_DOM_KEYS, 'temperature_category', 'stg', 'dominant_temperature_category')}),\n"
+    f"m3 AS ({mode_sql(_DOM_KEYS, 'wind_category', 'stg', 'dominant_wind_category')})"))
+def dominant_conditions(spark, sf_dir):
+    """O-44: ordered-set mode per city, ties to the smallest value."""
+    return M.dominant_conditions(M.staging(obs(spark, sf_dir)))

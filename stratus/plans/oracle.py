@@ -26,3 +26,90 @@ def mode_sql(group_keys: list[str], value: str, source: str, alias: str) -> str:
             f"SELECT {g}, {value}, ROW_NUMBER() OVER (PARTITION BY {g} "
             f"ORDER BY COUNT(*) DESC, {value} ASC) AS rn FROM {source} "
             f"WHERE {value} IS NOT NULL GROUP BY {g}, {value}) WHERE rn = 1")
+
+
+# Staging model over ``obs`` (DuckDB dialect; signed rounded values normalised to +0.0).
+STAGING_DUCK = """
+SELECT city, country,
+       ROUND(temperature, 2) + 0.0::DOUBLE AS temperature_c,
+       ROUND(feels_like, 2) + 0.0::DOUBLE AS feels_like_c,
+       ROUND(temperature - feels_like, 2) + 0.0::DOUBLE AS feels_like_gap_c,
+       humidity AS humidity_pct, pressure AS pressure_hpa,
+       ROUND(wind_speed, 2) + 0.0::DOUBLE AS wind_speed_ms,
+       wind_direction AS wind_direction_deg, cloudiness AS cloudiness_pct, visibility AS visibility_m,
+       weather_condition, weather_description,
+       CASE WHEN temperature < 0 THEN 'freezing' WHEN temperature < 10 THEN 'cold'
+            WHEN temperature < 20 THEN 'mild' WHEN temperature < 30 THEN 'warm' ELSE 'hot' END
+         AS temperature_category,
+       CASE WHEN wind_speed < 1.5 THEN 'calm' WHEN wind_speed < 5.5 THEN 'light_breeze'
+            WHEN wind_speed < 10.7 THEN 'moderate' ELSE 'strong' END AS wind_category,
+       latitude, longitude, recorded_at,
+       CAST(recorded_at AS DATE) AS recorded_date,
+       DATE_TRUNC('hour', recorded_at) AS recorded_hour,
+       kafka_offset, kafka_partition
+FROM {source}
+WHERE temperature IS NOT NULL AND humidity IS NOT NULL AND city IS NOT NULL AND recorded_at IS NOT NULL
+"""
+
+TEMP_BAND_DUCK = ("CASE WHEN temperature < 0 THEN 'freezing' WHEN temperature < 10 THEN 'cold' "
+                  "WHEN temperature < 20 THEN 'mild' WHEN temperature < 30 THEN 'warm' ELSE 'hot' END")
+WIND_STREAM_DUCK = ("CASE WHEN wind_speed < 1.5 THEN 'calm' WHEN wind_speed < 5.5 THEN 'light breeze' "
+                    "WHEN wind_speed < 10.7 THEN 'gentle breeze' WHEN wind_speed < 17.1 THEN 'moderate breeze' "
+                    "WHEN wind_speed < 24.5 THEN 'fresh breeze' ELSE 'strong wind' END")
+HEAT_DUCK = "ROUND(temperature + (0.33::DOUBLE*humidity/100*6.105::DOUBLE) - 4.0::DOUBLE, 2) + 0.0::DOUBLE"
+
+# Observations plus a full replay (later offsets), deduplicated on (city, recorded_at).
+REPLAY_DEDUP_CTES = """
+replayed AS (SELECT * FROM obs UNION ALL
+             SELECT * REPLACE (kafka_offset + 1000000000000 AS kafka_offset) FROM obs),
+dedup AS (SELECT * EXCLUDE (rn) FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY city, recorded_at
+                                         ORDER BY kafka_offset, kafka_partition) AS rn
+            FROM replayed) WHERE rn = 1)
+"""
+
+
+def mart_duck(source: str = "stg") -> str:
+    """Daily mart over a staging relation, modes picked by count then value."""
+    a = avg2_sql
+    keys = ["city", "country", "recorded_date"]
+    return f"""
+agg AS (
+  SELECT city, country, recorded_date,
+         {a('temperature_c')} AS avg_temperature_c,
+         ROUND(MIN(temperature_c), 2) AS min_temperature_c,
+         ROUND(MAX(temperature_c), 2) AS max_temperature_c,
+         ROUND(MAX(temperature_c) - MIN(temperature_c), 2) + 0.0::DOUBLE AS temperature_range_c,
+         {a('feels_like_c')} AS avg_feels_like_c,
+         {a('feels_like_gap_c')} AS avg_feels_like_gap_c,
+         {a('humidity_pct')} AS avg_humidity_pct,
+         ROUND(MIN(humidity_pct), 2) AS min_humidity_pct,
+         ROUND(MAX(humidity_pct), 2) AS max_humidity_pct,
+         {a('pressure_hpa')} AS avg_pressure_hpa,
+         ROUND(MIN(pressure_hpa), 2) AS min_pressure_hpa,
+         ROUND(MAX(pressure_hpa), 2) AS max_pressure_hpa,
+         {a('wind_speed_ms')} AS avg_wind_speed_ms,
+         ROUND(MAX(wind_speed_ms), 2) AS max_wind_speed_ms,
+         COUNT(*) AS record_count
+  FROM {source} GROUP BY city, country, recorded_date),
+m1 AS ({mode_sql(keys, 'temperature_category', source, 'dominant_temperature_category')}),
+m2 AS ({mode_sql(keys, 'wind_category', source, 'dominant_wind_category')}),
+m3 AS ({mode_sql(keys, 'weather_description', source, 'dominant_weather_description')})
+"""
+
+
+MART_SELECT_DUCK = """
+SELECT agg.city, agg.country, agg.recorded_date, avg_temperature_c, min_temperature_c, max_temperature_c,
+       temperature_range_c, avg_feels_like_c, avg_feels_like_gap_c, avg_humidity_pct, min_humidity_pct,
+       max_humidity_pct, avg_pressure_hpa, min_pressure_hpa, max_pressure_hpa, avg_wind_speed_ms,
+       max_wind_speed_ms, dominant_temperature_category, dominant_wind_category,
+       dominant_weather_description, record_count
+FROM agg
+LEFT JOIN m1 ON agg.city IS NOT DISTINCT FROM m1.city AND agg.country IS NOT DISTINCT FROM m1.country
+            AND agg.recorded_date IS NOT DISTINCT FROM m1.recorded_date
+LEFT JOIN m2 ON agg.city IS NOT DISTINCT FROM m2.city AND agg.country IS NOT DISTINCT FROM m2.country
+            AND agg.recorded_date IS NOT DISTINCT FROM m2.recorded_date
+LEFT JOIN m3 ON agg.city IS NOT DISTINCT FROM m3.city AND agg.country IS NOT DISTINCT FROM m3.country
+            AND agg.recorded_date IS NOT DISTINCT FROM m3.recorded_date
+ORDER BY agg.recorded_date DESC, agg.city
+"""
