@@ -232,3 +232,100 @@ LEFT JOIN m3 ON c.city = m3.city AND c.country = m3.country""",
 def dominant_conditions(spark, sf_dir):
     """O-44: ordered-set mode per city, ties to the smallest value."""
     return M.dominant_conditions(M.staging(obs(spark, sf_dir)))
+
+
+# ------------------------------------------------------ wire encodings --
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from stratus.operators import validate as V  # noqa: E402
+from stratus.plans.oracle import NORMALIZED_SELECT_DUCK, title_duck, validation_ctes  # noqa: E402
+from stratus.sources import messages as MS  # noqa: E402
+from stratus.sources.observations import city_dimension  # noqa: E402
+
+
+@register("flatten_payload", with_obs("""
+SELECT kafka_offset AS message_id, city, country, temperature, feels_like, humidity, pressure, wind_speed,
+       CASE WHEN kafka_offset % 13 = 0 THEN 0 ELSE wind_direction END AS wind_direction,
+       COALESCE(visibility, 0) AS visibility, weather_condition, weather_description, cloudiness,
+       DATE_TRUNC('second', recorded_at) AS recorded_at, latitude, longitude
+FROM obs"""))
+def flatten_payload(spark, sf_dir):
+    """O-03, O-40: nested payload JSON -> flat record joined with the city dimension."""
+    payloads = MS.encode_payloads(observations(spark, sf_dir, with_parts=False, with_city_id=True))
+    return MS.flatten_payload(payloads, city_dimension(spark, sf_dir))
+
+
+@register("parse_messages", with_obs(f"""
+SELECT CASE WHEN b THEN NULL ELSE city END AS city, CASE WHEN b THEN NULL ELSE country END AS country,
+       CASE WHEN b THEN NULL ELSE temperature END AS temperature,
+       CASE WHEN b THEN NULL ELSE feels_like END AS feels_like,
+       CASE WHEN b THEN NULL ELSE humidity END AS humidity, CASE WHEN b THEN NULL ELSE pressure END AS pressure,
+       CASE WHEN b THEN NULL ELSE wind_speed END AS wind_speed,
+       CASE WHEN b THEN NULL ELSE wind_direction END AS wind_direction,
+       CASE WHEN b THEN NULL ELSE visibility END AS visibility,
+       CASE WHEN b THEN NULL ELSE weather_condition END AS weather_condition,
+       CASE WHEN b THEN NULL ELSE weather_description END AS weather_description,
+       CASE WHEN b THEN NULL ELSE cloudiness END AS cloudiness,
+       CASE WHEN b THEN NULL ELSE recorded_at END AS recorded_at,
+       CASE WHEN b THEN NULL ELSE latitude END AS latitude, CASE WHEN b THEN NULL ELSE longitude END AS longitude,
+       CAST(NULL AS VARCHAR) AS schema_version, ts0 AS kafka_timestamp, kafka_offset, kafka_partition,
+       CASE WHEN b THEN NULL ELSE year END AS year, CASE WHEN b THEN NULL ELSE month END AS month,
+       CASE WHEN b THEN NULL ELSE day END AS day, CASE WHEN b THEN NULL ELSE hour END AS hour
+FROM (SELECT *, kafka_offset % {MS.BROKEN_EVERY} = 0 AS b, recorded_at AS ts0 FROM obs)"""))
+def parse_messages_q(spark, sf_dir):
+    """O-13, O-14, O-15, O-51: to_json messages decoded back (permissive, try_to_timestamp)."""
+    return MS.parse_messages(MS.encode_messages(observations(spark, sf_dir, with_parts=False)))
+
+
+def _checked(spark, sf_dir):
+    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False))
+    return V.check(raw)
+
+
+@register("normalize_records", with_obs(
+    NORMALIZED_SELECT_DUCK.format(title=title_duck("city_raw")), validation_ctes()))
+def normalize_records(spark, sf_dir):
+    """O-20..O-23: lax coercion + title/strip/round normalisation of valid records."""
+    return V.normalized(_checked(spark, sf_dir), keep=["message_id"])
+
+
+@register("valid_records", with_obs(
+    "SELECT message_id, is_valid, error_count FROM checked", validation_ctes()))
+def valid_records(spark, sf_dir):
+    """O-30: range and type rules; one verdict per record."""
+    return _checked(spark, sf_dir).select("message_id", "is_valid", F.size("errors").alias("error_count"))
+
+
+@register("invalid_records", with_obs("""
+SELECT message_id, CASE WHEN broken THEN 'unknown' ELSE city_raw END AS key, error_count, fields
+FROM checked WHERE NOT is_valid""", validation_ctes()))
+def invalid_records(spark, sf_dir):
+    """O-31: invalid records with their key and failed fields."""
+    c = _checked(spark, sf_dir)
+    return (c.filter(~F.col("is_valid"))
+             .select("message_id", V.message_key(c).alias("key"), F.size("errors").alias("error_count"),
+                     F.array_join(F.transform("errors", lambda x: x["loc"]), ",").alias("fields")))
+
+
+@register("error_report", with_obs(
+    "SELECT message_id, loc, type, msg, input FROM errs", validation_ctes()))
+def error_report(spark, sf_dir):
+    """O-32: every failure of every record (not only the first)."""
+    return V.error_rows(_checked(spark, sf_dir), keep=["message_id"])
+
+
+@register("route_summary", with_obs("""
+SELECT 'raw_weather_stream' AS topic, COUNT(*) AS messages FROM checked
+UNION ALL SELECT 'validated_weather_stream', COUNT(*) FROM checked WHERE is_valid
+UNION ALL SELECT 'invalid_weather_stream', COUNT(*) FROM checked WHERE NOT is_valid""", validation_ctes()))
+def route_summary(spark, sf_dir):
+    """O-10: message count per topic (raw = validated + invalid)."""
+    routed = V.route(_checked(spark, sf_dir))
+    return routed.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("route_topics")
+def route_topics(spark, sf_dir):
+    """O-10, O-13: the routed messages themselves (topic, key, JSON value)."""
+    return V.route(_checked(spark, sf_dir), keep=["message_id"])

@@ -113,3 +113,78 @@ LEFT JOIN m3 ON agg.city IS NOT DISTINCT FROM m3.city AND agg.country IS NOT DIS
             AND agg.recorded_date IS NOT DISTINCT FROM m3.recorded_date
 ORDER BY agg.recorded_date DESC, agg.city
 """
+
+
+def title_duck(s: str) -> str:
+    """``str.title`` in DuckDB: upper after any non-letter, lower elsewhere."""
+    return (f"array_to_string(list_transform(range(1, length({s})+1), lambda i: "
+            f"CASE WHEN i = 1 OR NOT regexp_matches(substring({s}, i-1, 1), '\\p{{L}}') "
+            f"THEN upper(substring({s}, i, 1)) ELSE lower(substring({s}, i, 1)) END), '')")
+
+
+def validation_ctes() -> str:
+    """CTEs ``raw_rec`` (fixture fields as sent), ``errs`` (one row per failure), ``checked``."""
+    from stratus.operators.validate import CITY_MSG, MSG, RANGES, WIND_MSG
+    from stratus.schemas import OBSERVATION_FIELDS
+    from stratus.sources.messages import UNTIDY_RULES as R
+
+    raw = f"""
+raw_rec AS (
+  SELECT kafka_offset AS message_id, kafka_offset % {R['broken']} = 0 AS broken,
+         CASE WHEN kafka_offset % {R['blank_city']} = 0 THEN '   '
+              WHEN kafka_offset % {R['lower_city']} = 0 THEN lower(city) ELSE city END AS city_raw,
+         country, temperature, feels_like, humidity,
+         CASE WHEN kafka_offset % {R['frac_hum']} = 0 THEN CAST(humidity + 0.5 AS VARCHAR)
+              WHEN kafka_offset % {R['float_hum']} = 0 THEN CAST(CAST(humidity AS DOUBLE) AS VARCHAR)
+              ELSE CAST(humidity AS VARCHAR) END AS humidity_txt,
+         kafka_offset % {R['frac_hum']} = 0 AS hum_frac,
+         pressure, wind_speed, wind_direction, visibility, weather_condition, weather_description,
+         cloudiness, recorded_at, kafka_offset % {R['bad_time']} = 0 AS bad_time, latitude, longitude
+  FROM obs)"""
+
+    def e(loc, typ, msg, inp, cond):
+        inp_sql = "CAST(NULL AS VARCHAR)" if inp is None else inp
+        m = msg.replace("'", "''")
+        return (f"SELECT message_id, {OBSERVATION_FIELDS.index(loc)} AS pos, '{loc}' AS loc, '{typ}' AS type, "
+                f"'{m}' AS msg, {inp_sql} AS input FROM raw_rec WHERE {cond}")
+
+    parts = [e(f, "missing", MSG["missing"], None, "broken") for f in OBSERVATION_FIELDS]
+    ok = "NOT broken"
+    parts.append(e("city", "value_error", "Value error, " + CITY_MSG, "city_raw",
+                   f"{ok} AND trim(city_raw) = ''"))
+    for f in ("temperature", "feels_like"):
+        lo, hi, m = RANGES[f]
+        parts.append(e(f, "value_error", "Value error, " + m, f"CAST({f} AS VARCHAR)",
+                       f"{ok} AND NOT ({f} BETWEEN {lo} AND {hi})"))
+    lo, hi, m = RANGES["humidity"]
+    parts.append(e("humidity", "int_from_float", MSG["int_from_float"], "humidity_txt", f"{ok} AND hum_frac"))
+    parts.append(e("humidity", "value_error", "Value error, " + m, "humidity_txt",
+                   f"{ok} AND NOT hum_frac AND NOT (humidity BETWEEN {lo} AND {hi})"))
+    for f in ("pressure", "cloudiness"):
+        lo, hi, m = RANGES[f]
+        parts.append(e(f, "value_error", "Value error, " + m, f"CAST({f} AS VARCHAR)",
+                       f"{ok} AND NOT ({f} BETWEEN {lo} AND {hi})"))
+    parts.append(e("wind_speed", "value_error", "Value error, " + WIND_MSG, "CAST(wind_speed AS VARCHAR)",
+                   f"{ok} AND wind_speed < 0"))
+    for f in ("wind_direction", "visibility"):
+        parts.append(e(f, "missing", MSG["missing"], None, f"{ok} AND {f} IS NULL"))
+    parts.append(e("recorded_at", "datetime_parsing", MSG["datetime_parsing"], "'not-a-date'",
+                   f"{ok} AND bad_time"))
+    errs = "errs AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
+    checked = f"""
+checked AS (
+  SELECT r.*, COALESCE(c.n_errors, 0) AS error_count, COALESCE(c.n_errors, 0) = 0 AS is_valid,
+         c.fields
+  FROM raw_rec r LEFT JOIN (SELECT message_id, COUNT(*) AS n_errors,
+                                   string_agg(loc, ',' ORDER BY pos) AS fields
+                            FROM errs GROUP BY message_id) c USING (message_id))"""
+    return ",\n".join([raw, errs, checked])
+
+
+NORMALIZED_SELECT_DUCK = """
+SELECT message_id, {title} AS city, country, ROUND(temperature, 2) AS temperature,
+       ROUND(feels_like, 2) AS feels_like, humidity, pressure, ROUND(wind_speed, 2) AS wind_speed,
+       wind_direction, visibility, weather_condition, lower(weather_description) AS weather_description,
+       cloudiness, recorded_at, latitude, longitude
+FROM checked WHERE is_valid
+"""

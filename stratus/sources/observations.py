@@ -39,7 +39,8 @@ def date_parts(df: DataFrame, ts: str = "recorded_at") -> DataFrame:
               .withColumn("hour", F.hour(c)))
 
 
-def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True,
+                 with_city_id: bool = False) -> DataFrame:
     """Typed observation rows (the lake table's content).
 
     Column formulas (fixed adapter definition, shared with the oracle SQL):
@@ -74,6 +75,7 @@ def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True) -> D
                 F.col("lon").alias("longitude"),
                 eid.alias("kafka_offset"),
                 (eid % 3).cast("int").alias("kafka_partition"),
+                *([F.col("city_id")] if with_city_id else []),
             ))
     return date_parts(df) if with_parts else df
 
