@@ -329,3 +329,109 @@ def route_summary(spark, sf_dir):
 def route_topics(spark, sf_dir):
     """O-10, O-13: the routed messages themselves (topic, key, JSON value)."""
     return V.route(_checked(spark, sf_dir), keep=["message_id"])
+
+
+# --------------------------------------------------------- data quality --
+
+from stratus.operators import quality as Q  # noqa: E402
+from stratus.operators import runlog as RL  # noqa: E402
+
+
+def _dq_union_duck(scope: str, source: str, rules: list[tuple[str, str, str]]) -> str:
+    parts = [f"SELECT '{scope}' AS scope, '{chk}' AS check_name, '{col}' AS column_name, "
+             f"CAST(COUNT(*) FILTER (WHERE {pred}) AS BIGINT) AS violations FROM {source}"
+             for chk, col, pred in rules]
+    return "\nUNION ALL ".join(parts)
+
+
+_CONSTRAINT_RULES_DUCK = ([("not_null", c, f"{c} IS NULL") for c in Q.NOT_NULL_COLUMNS]
+                          + [("check", c, f"NOT COALESCE({cond}, TRUE)") for c, cond in Q.CHECKS.items()])
+
+
+@register("dq_constraints", with_obs(_dq_union_duck("observations", "obs", _CONSTRAINT_RULES_DUCK)))
+def dq_constraints(spark, sf_dir):
+    """O-33: NOT NULL and CHECK violations of the observation table, one pass."""
+    return Q.constraints(obs(spark, sf_dir))
+
+
+@register("dq_not_null", with_obs(
+    _dq_union_duck("stg_weather_events", "stg", [("not_null", c, f"{c} IS NULL") for c in Q.STAGING_NOT_NULL])
+    + "\nUNION ALL "
+    + _dq_union_duck("mart_city_weather_summary", "mart", [("not_null", c, f"{c} IS NULL") for c in Q.MART_NOT_NULL]),
+    f"stg AS ({STAGING_DUCK.format(source='obs')}),\n" + mart_duck("stg")
+    + f",\nmart AS ({MART_SELECT_DUCK})"))
+def dq_not_null(spark, sf_dir):
+    """O-35: declared not_null tests of both models."""
+    stg = M.staging(obs(spark, sf_dir))
+    return (Q.not_null(stg, Q.STAGING_NOT_NULL, "stg_weather_events")
+            .unionByName(Q.not_null(M.mart(stg), Q.MART_NOT_NULL, "mart_city_weather_summary")))
+
+
+def _accepted_duck() -> str:
+    rules = []
+    for c, vals in Q.ACCEPTED_VALUES.items():
+        lst = ", ".join(f"'{v}'" for v in vals)
+        rules.append(("accepted_values", c, f"{c} IS NOT NULL AND {c} NOT IN ({lst})"))
+    return _dq_union_duck("stg_weather_events", "stg", rules)
+
+
+@register("dq_accepted_values", with_obs(_accepted_duck(), f"stg AS ({STAGING_DUCK.format(source='obs')})"))
+def dq_accepted_values(spark, sf_dir):
+    """O-36: band columns only take their declared values (nulls not reported)."""
+    return Q.accepted_values(M.staging(obs(spark, sf_dir)), Q.ACCEPTED_VALUES, "stg_weather_events")
+
+
+# ------------------------------------------------------------- run log --
+
+def _runs_duck(unit: str, job: str, status: str) -> str:
+    t = f"date_trunc('{unit}', recorded_at)"
+    return (f"SELECT '{job}__' || strftime({t}, '%Y-%m-%dT%H:%M:%S') AS run_id, '{job}' AS job_name, "
+            f"{t} AS started_at, MAX(recorded_at) AS completed_at, COUNT(*) AS records_processed, "
+            f"'{status}' AS status, CAST(NULL AS VARCHAR) AS error_message "
+            f"FROM obs WHERE recorded_at IS NOT NULL GROUP BY {t}")
+
+
+_RUN_CTES = (f"hourly AS ({_runs_duck('hour', 'batch_analysis', 'success')}),\n"
+             f"daily AS ({_runs_duck('day', 'daily_rollup', 'success')}),\n"
+             f"final_log AS (SELECT * FROM hourly UNION ALL SELECT * FROM daily)")
+
+
+def _incoming_runs(o):
+    return (RL.runs_from_observations(o, "hour", "batch_analysis", "retry", attempt=2)
+            .unionByName(RL.runs_from_observations(o, "day", "daily_rollup", "success", attempt=1))
+            .unionByName(RL.runs_from_observations(o, "day", "daily_rollup", "retry", attempt=2)))
+
+
+def _run_log(spark, sf_dir):
+    """Write the hourly run log, then idempotently append a batch with retries."""
+    from stratus.session import scratch_path
+    from stratus.sources.lake import read_table, write_table
+    from stratus.schemas import RUN_LOG_SCHEMA
+    o = obs(spark, sf_dir)
+    path = scratch_path(spark, "run_log")
+    write_table(RL.runs_from_observations(o, "hour").select(*RL.RUN_COLUMNS), path)
+    existing = read_table(spark, path, schema=RUN_LOG_SCHEMA)
+    RL.append_idempotent(existing, _incoming_runs(o)).write.mode("append").parquet(path)
+    return read_table(spark, path, schema=RUN_LOG_SCHEMA)
+
+
+@register("run_log_append", with_obs("SELECT * FROM final_log", _RUN_CTES))
+def run_log_append(spark, sf_dir):
+    """O-11, O-41: insert-or-ignore on run_id (in-batch dedup + left anti join)."""
+    return _run_log(spark, sf_dir)
+
+
+@register("dq_unique", with_obs("""
+SELECT run_id, COUNT(*) AS occurrences FROM (
+  SELECT run_id FROM hourly UNION ALL SELECT run_id FROM daily UNION ALL SELECT run_id FROM daily)
+GROUP BY run_id HAVING COUNT(*) > 1""", _RUN_CTES))
+def dq_unique(spark, sf_dir):
+    """O-34: uniqueness test on run_id over an incoming batch with retries."""
+    return Q.duplicates(_incoming_runs(obs(spark, sf_dir)), "run_id")
+
+
+@register("latest_run", with_obs(
+    "SELECT * FROM final_log ORDER BY started_at DESC, run_id DESC LIMIT 1", _RUN_CTES))
+def latest_run(spark, sf_dir):
+    """O-50: newest run first, limit 1 (history(1))."""
+    return RL.latest(_run_log(spark, sf_dir), 1)
