@@ -435,3 +435,203 @@ def dq_unique(spark, sf_dir):
 def latest_run(spark, sf_dir):
     """O-50: newest run first, limit 1 (history(1))."""
     return RL.latest(_run_log(spark, sf_dir), 1)
+
+
+# --------------------------------------------------------------- sinks --
+
+from stratus.operators import upkeep as U  # noqa: E402
+from stratus.schemas import PARTITION_COLUMNS  # noqa: E402
+from stratus.session import scratch_path  # noqa: E402
+from stratus.sources.lake import read_table, write_partitioned, write_table  # noqa: E402
+
+
+def _write_lake(spark, sf_dir, mode="overwrite"):
+    """Partitioned lake table of the observations; returns (path, schema)."""
+    o = obs(spark, sf_dir)
+    path = scratch_path(spark, "weather_events")
+    write_partitioned(o, path, mode=mode)
+    return path, o.schema
+
+
+def analytics_tables(spark, sf_dir, base: str | None = None, fmt: str = "parquet") -> dict[str, str]:
+    """O-63: run the eight jobs over one cached, column-pruned scan; overwrite each table."""
+    base = base or scratch_path(spark, "analytics")
+    scan = obs(spark, sf_dir).select(*A.JOB_COLUMNS).persist()
+    try:
+        out = {}
+        for name, job in A.JOBS.items():
+            path = f"{base}/{name}"
+            write_table(job(scan), path, fmt)
+            out[name] = path
+        return out
+    finally:
+        scan.unpersist()
+
+
+def _roundtrip_oracle() -> str:
+    parts = [f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({ORACLE[n]})" for n in A.JOBS]
+    return "\nUNION ALL ".join(parts)
+
+
+@register("analytics_roundtrip", _roundtrip_oracle())
+def analytics_roundtrip(spark, sf_dir):
+    """O-07, O-63: eight analytics tables written (overwrite) and read back."""
+    paths = analytics_tables(spark, sf_dir)
+    frames = [read_table(spark, p).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+              for n, p in paths.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("partition_roundtrip", with_obs("SELECT * FROM obs"))
+def partition_roundtrip(spark, sf_dir):
+    """O-08: partitioned write by year/month/day/hour, read back with values preserved."""
+    path, schema = _write_lake(spark, sf_dir)
+    return read_table(spark, path, schema=schema)
+
+
+@register("append_accumulates", with_obs("SELECT * FROM obs UNION ALL SELECT * FROM obs"))
+def append_accumulates(spark, sf_dir):
+    """O-09: a second append doubles the rows (bag union)."""
+    path, schema = _write_lake(spark, sf_dir)
+    write_partitioned(obs(spark, sf_dir), path, mode="append")
+    return read_table(spark, path, schema=schema)
+
+
+@register("partition_inventory", with_obs("""
+SELECT year, COUNT(*) AS partitions FROM (SELECT DISTINCT year, month, day, hour FROM obs) GROUP BY year"""))
+def partition_inventory(spark, sf_dir):
+    """O-38: readiness check (fails on a missing table) and partitions per year."""
+    path, _ = _write_lake(spark, sf_dir)
+    return U.partition_inventory(spark, path)
+
+
+@register("table_metrics")
+def table_metrics(spark, sf_dir):
+    """O-46: file count and bytes of the lake table (file layout: rows-only check)."""
+    path, _ = _write_lake(spark, sf_dir)
+    return U.table_metrics(spark, path)
+
+
+@register("compact_table")
+def compact_table(spark, sf_dir):
+    """O-59: compaction of a many-small-files table; rows preserved, metrics reported."""
+    path, schema = _write_lake(spark, sf_dir)
+    write_partitioned(obs(spark, sf_dir), path, mode="append", rebalance=False)
+    new_path = scratch_path(spark, "weather_events_compacted")
+    m = U.compact(spark, path, new_path)
+    rows_before = read_table(spark, path, schema=schema).count()
+    rows_after = read_table(spark, new_path, schema=schema).count()
+    return spark.createDataFrame(
+        [(m["files_added"], m["files_removed"], float(m["duration_seconds"]), rows_before, rows_after)],
+        "files_added int, files_removed int, duration_seconds double, rows_before long, rows_after long")
+
+
+@register("retention_report")
+def retention_report(spark, sf_dir):
+    """O-60: files older than the retention window (report only on Parquet)."""
+    path, _ = _write_lake(spark, sf_dir)
+    return U.retention_report(spark, path)
+
+
+@register("maintenance_report")
+def maintenance_report(spark, sf_dir):
+    """O-61: metrics -> compact -> retention -> metrics, one nested row."""
+    path, _ = _write_lake(spark, sf_dir)
+    return U.maintenance_report(spark, path, scratch_path(spark, "weather_events_compacted"))
+
+
+@register("maintenance_status", with_obs("""
+SELECT run_id, CASE WHEN started_at = mx THEN 'completed' ELSE 'no_result' END AS status,
+       CASE WHEN started_at = mx THEN '0' END AS before_version,
+       CASE WHEN started_at = mx THEN '1' END AS after_version
+FROM (SELECT *, MAX(started_at) OVER () AS mx FROM upkeep_runs)""",
+    f"upkeep_runs AS ({_runs_duck('day', 'table_upkeep', 'success')})"))
+def maintenance_status(spark, sf_dir):
+    """O-62: one upkeep run per day; only the run that produced a report is completed."""
+    o = obs(spark, sf_dir)
+    runs = RL.runs_from_observations(o, "day", "table_upkeep")
+    path, _ = _write_lake(spark, sf_dir)
+    report = U.maintenance_report(spark, path, scratch_path(spark, "weather_events_compacted"))
+    last = RL.latest(runs, 1).select("run_id").first()["run_id"]
+    reports = report.withColumn("run_id", F.lit(last))
+    return U.maintenance_status(runs, reports).drop("files_removed")
+
+
+# ----------------------------------------------------------- streaming --
+
+from stratus.streaming import fixtures as SF  # noqa: E402
+from stratus.streaming import ingest as ST  # noqa: E402
+
+_PARSED_COLS = ("city, country, temperature, feels_like, humidity, pressure, wind_speed, wind_direction, "
+                "visibility, weather_condition, weather_description, cloudiness, recorded_at, latitude, "
+                "longitude, CAST(NULL AS VARCHAR) AS schema_version, recorded_at AS kafka_timestamp, "
+                "kafka_offset, kafka_partition, year, month, day, hour")
+
+
+def _stream(spark, sf_dir, kind: str, replay: bool, broken_every=None, extra_noop_run=False):
+    """Stage message groups one at a time; after each, one availableNow run of ``kind``."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", f"{kind}_sink", f"{kind}_ckpt"))
+    groups = [(c, False) for c in SF.slices(o, 3)] + ([(None, True)] if replay else [])
+    parsed_schema = None
+
+    def start():
+        parsed = ST.parse_stream(ST.read_messages(spark, src))
+        if kind == "enrich":
+            return ST.start_enrich(parsed, sink, ckpt, trigger={"availableNow": True})
+        if kind == "dedup":
+            parsed = ST.dedup_stream(parsed)
+        return ST.start_ingest(parsed, sink, ckpt, trigger={"availableNow": True})
+
+    for cond, is_replay in groups:
+        SF.stage(o, src, cond, replay=is_replay, broken_every=broken_every)
+        ST.run_available(start)
+    if extra_noop_run:
+        ST.run_available(start)
+    parsed_schema = ST.parse_stream(ST.read_messages(spark, src)).schema
+    if kind == "enrich":
+        return spark.read.parquet(sink)
+    return spark.read.schema(parsed_schema).parquet(sink)
+
+
+@register("stream_ingest", ORACLE["parse_messages"])
+def stream_ingest(spark, sf_dir):
+    """O-01, O-06, O-52: file-source stream -> parse + watermark -> partitioned append sink."""
+    return _stream(spark, sf_dir, "ingest", replay=False, broken_every=MS.BROKEN_EVERY)
+
+
+@register("stream_restart", with_obs(f"SELECT {_PARSED_COLS} FROM obs"))
+def stream_restart(spark, sf_dir):
+    """O-56, O-57: checkpointed availableNow runs; a restart without new files adds nothing."""
+    return _stream(spark, sf_dir, "ingest", replay=False, extra_noop_run=True)
+
+
+@register("stream_dedup", with_obs(f"SELECT {_PARSED_COLS} FROM obs"))
+def stream_dedup(spark, sf_dir):
+    """O-55: dropDuplicatesWithinWatermark on (city, recorded_at) across batches, replay included."""
+    return _stream(spark, sf_dir, "dedup", replay=True)
+
+
+@register("stream_late_dropped", with_obs(
+    "SELECT kafka_offset + 1000000000000 AS kafka_offset, city, recorded_at FROM obs"))
+def stream_late_dropped(spark, sf_dir):
+    """O-53: rows the raw ingest keeps but the stateful dedup drops (late or duplicate)."""
+    raw = _stream(spark, sf_dir, "ingest", replay=True)
+    kept = _stream(spark, sf_dir, "dedup", replay=True)
+    return (raw.join(kept.select("kafka_offset"), "kafka_offset", "left_anti")
+               .select("kafka_offset", "city", "recorded_at"))
+
+
+@register("stream_enrich", with_obs(f"""
+SELECT *, {TEMP_BAND_DUCK} AS temperature_category, {HEAT_DUCK} AS heat_index,
+       {WIND_STREAM_DUCK} AS wind_category, '1.0.0' AS pipeline_version
+FROM (SELECT {_PARSED_COLS} FROM obs
+      UNION ALL SELECT {_PARSED_COLS.replace('kafka_offset,', 'kafka_offset + 1000000000000 AS kafka_offset,')}
+      FROM obs)"""))
+def stream_enrich(spark, sf_dir):
+    """O-54, G1: foreachBatch enrichment (dedup within each micro-batch), idempotent per batch_id."""
+    out = _stream(spark, sf_dir, "enrich", replay=True)
+    return out.drop("processed_at", "batch_id").withColumn("heat_index", F.col("heat_index") + 0.0)
