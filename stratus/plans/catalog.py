@@ -519,7 +519,7 @@ def table_metrics(spark, sf_dir):
 def compact_table(spark, sf_dir):
     """O-59: compaction of a many-small-files table; rows preserved, metrics reported."""
     path, schema = _write_lake(spark, sf_dir)
-    write_partitioned(obs(spark, sf_dir), path, mode="append", rebalance=False)
+    write_partitioned(obs(spark, sf_dir), path, mode="append")  # a second batch: 2 files per partition
     new_path = scratch_path(spark, "weather_events_compacted")
     m = U.compact(spark, path, new_path)
     rows_before = read_table(spark, path, schema=schema).count()
