@@ -86,3 +86,26 @@ def salt_count(n_rows: int, rows_per_task: int) -> int:
 
 def col_list(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
+
+
+DIMENSION_ROWS_CONF = "stratus.broadcast.dimensionMaxRows"
+DIMENSION_ROWS_DEFAULT = 100_000
+_dimension_checks: dict[tuple[str, str], bool] = {}
+
+
+def broadcast_if_bounded(dim: DataFrame, cache_key: str | None = None,
+                         max_rows: int | None = None) -> DataFrame:
+    """Mark a dimension as the broadcast side after checking its row count.
+
+    Without the hint the optimizer broadcasts whichever side its file-size
+    estimate puts under the threshold, which on small inputs can be the fact
+    table.  The count runs once per (application, ``cache_key``).
+    """
+    limit = max_rows if max_rows is not None else _conf(dim, DIMENSION_ROWS_CONF, DIMENSION_ROWS_DEFAULT)
+    key = (dim.sparkSession.sparkContext.applicationId, cache_key) if cache_key else None
+    ok = _dimension_checks.get(key) if key else None
+    if ok is None:
+        ok = dim.count() <= limit
+        if key:
+            _dimension_checks[key] = ok
+    return F.broadcast(dim) if ok else dim

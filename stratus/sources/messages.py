@@ -116,8 +116,10 @@ def flatten_payload(payloads: DataFrame, cities: DataFrame) -> DataFrame:
         F.col("p.clouds.all").alias("cloudiness"),
         F.timestamp_seconds(F.col("p.dt")).alias("recorded_at"),
     )
-    dim = cities.select("city_id", F.col("name").alias("city"),
-                        F.col("lat").alias("latitude"), F.col("lon").alias("longitude"))
+    from stratus.operators.joins import broadcast_if_bounded
+
+    dim = broadcast_if_bounded(cities.select("city_id", F.col("name").alias("city"),
+                                             F.col("lat").alias("latitude"), F.col("lon").alias("longitude")))
     return flat.join(dim, "city_id").select("message_id", *OBSERVATION_FIELDS)
 
 

@@ -2,8 +2,8 @@
 
 No weather table exists in the test data, so observations are defined as
 ``events`` joined with ``nation`` and ``region``: one event is one reading of
-one city.  Work grows with ``events``; the two dimensions are tiny fixed-size
-tables that the optimizer broadcasts by their file-size statistics.
+one city.  Work grows with ``events``; the city dimension is the broadcast
+side once its row count is checked (never the fact table).
 """
 
 from __future__ import annotations
@@ -50,8 +50,10 @@ def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True,
     visibility = 1000 + event_id % 9000 (null when event_id % 11 = 0);
     cloudiness = (k*3) % 101; condition = event_type; description = event_type || ' sky'.
     """
+    from stratus.operators.joins import broadcast_if_bounded
+
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    dim = city_dimension(spark, sf_dir)
+    dim = broadcast_if_bounded(city_dimension(spark, sf_dir), cache_key=f"city_dimension:{sf_dir}")
     k = F.get_json_object("props", "$.k").cast("int")
     eid = F.col("event_id")
     signed0 = F.lit(0.0)
