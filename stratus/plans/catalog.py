@@ -252,7 +252,7 @@ SELECT kafka_offset AS message_id, city, country, temperature, feels_like, humid
 FROM obs"""))
 def flatten_payload(spark, sf_dir):
     """O-03, O-40: nested payload JSON -> flat record joined with the city dimension."""
-    payloads = MS.encode_payloads(observations(spark, sf_dir, with_parts=False, with_city_id=True))
+    payloads = MS.encode_payloads(observations(spark, sf_dir, with_parts=False, with_city_id=True, spread=True))
     return MS.flatten_payload(payloads, city_dimension(spark, sf_dir))
 
 
@@ -275,11 +275,11 @@ SELECT CASE WHEN b THEN NULL ELSE city END AS city, CASE WHEN b THEN NULL ELSE c
 FROM (SELECT *, kafka_offset % {MS.BROKEN_EVERY} = 0 AS b, recorded_at AS ts0 FROM obs)"""))
 def parse_messages_q(spark, sf_dir):
     """O-13, O-14, O-15, O-51: to_json messages decoded back (permissive, try_to_timestamp)."""
-    return MS.parse_messages(MS.encode_messages(observations(spark, sf_dir, with_parts=False)))
+    return MS.parse_messages(MS.encode_messages(observations(spark, sf_dir, with_parts=False, spread=True)))
 
 
 def _checked(spark, sf_dir):
-    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False))
+    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False, spread=True))
     return V.check(raw)
 
 
@@ -571,8 +571,11 @@ _PARSED_COLS = ("city, country, temperature, feels_like, humidity, pressure, win
                 "kafka_offset, kafka_partition, year, month, day, hour")
 
 
-def _stream(spark, sf_dir, kind: str, replay: bool, broken_every=None, extra_noop_run=False):
+def _stream(spark, sf_dir, kind: str, replay: bool, broken_every=None, extra_noop_run=False,
+            partitioned: bool = True):
     """Stage message groups one at a time; after each, one availableNow run of ``kind``."""
+    # One staged file per group (no spread): the partitioned sink then writes
+    # one file per hour per batch instead of one per hour per task.
     o = observations(spark, sf_dir, with_parts=False)
     src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", f"{kind}_sink", f"{kind}_ckpt"))
     groups = [(c, False) for c in SF.slices(o, 3)] + ([(None, True)] if replay else [])
@@ -584,7 +587,8 @@ def _stream(spark, sf_dir, kind: str, replay: bool, broken_every=None, extra_noo
             return ST.start_enrich(parsed, sink, ckpt, trigger={"availableNow": True})
         if kind == "dedup":
             parsed = ST.dedup_stream(parsed)
-        return ST.start_ingest(parsed, sink, ckpt, trigger={"availableNow": True})
+        cols = None if partitioned else []
+        return ST.start_ingest(parsed, sink, ckpt, trigger={"availableNow": True}, partition_cols=cols)
 
     for cond, is_replay in groups:
         SF.stage(o, src, cond, replay=is_replay, broken_every=broken_every)
@@ -612,15 +616,15 @@ def stream_restart(spark, sf_dir):
 @register("stream_dedup", with_obs(f"SELECT {_PARSED_COLS} FROM obs"))
 def stream_dedup(spark, sf_dir):
     """O-55: dropDuplicatesWithinWatermark on (city, recorded_at) across batches, replay included."""
-    return _stream(spark, sf_dir, "dedup", replay=True)
+    return _stream(spark, sf_dir, "dedup", replay=True, partitioned=False)
 
 
 @register("stream_late_dropped", with_obs(
     "SELECT kafka_offset + 1000000000000 AS kafka_offset, city, recorded_at FROM obs"))
 def stream_late_dropped(spark, sf_dir):
     """O-53: rows the raw ingest keeps but the stateful dedup drops (late or duplicate)."""
-    raw = _stream(spark, sf_dir, "ingest", replay=True)
-    kept = _stream(spark, sf_dir, "dedup", replay=True)
+    raw = _stream(spark, sf_dir, "ingest", replay=True, partitioned=False)
+    kept = _stream(spark, sf_dir, "dedup", replay=True, partitioned=False)
     return (raw.join(kept.select("kafka_offset"), "kafka_offset", "left_anti")
                .select("kafka_offset", "city", "recorded_at"))
 

@@ -98,23 +98,24 @@ def flatten_payload(payloads: DataFrame, cities: DataFrame) -> DataFrame:
     missing ``wind.deg`` / ``visibility`` default to 0; the first weather
     entry is used; ``dt`` epoch seconds become a UTC timestamp.
     """
-    p = payloads.select("message_id", F.from_json("payload", PAYLOAD_SCHEMA).alias("p"))
-    first = F.get(F.col("p.weather"), 0)
+    # Decode inside a generator: one parse per row, never copied into filters.
+    p = payloads.select("message_id", F.inline(F.array(F.from_json("payload", PAYLOAD_SCHEMA))))
+    first = F.get(F.col("weather"), 0)
     flat = p.select(
         "message_id",
-        F.col("p.id").alias("city_id"),
-        F.col("p.sys.country").alias("country"),
-        F.col("p.main.temp").alias("temperature"),
-        F.col("p.main.feels_like").alias("feels_like"),
-        F.col("p.main.humidity").alias("humidity"),
-        F.col("p.main.pressure").alias("pressure"),
-        F.col("p.wind.speed").alias("wind_speed"),
-        F.coalesce(F.col("p.wind.deg"), F.lit(0)).alias("wind_direction"),
-        F.coalesce(F.col("p.visibility"), F.lit(0)).alias("visibility"),
+        F.col("id").alias("city_id"),
+        F.col("sys.country").alias("country"),
+        F.col("main.temp").alias("temperature"),
+        F.col("main.feels_like").alias("feels_like"),
+        F.col("main.humidity").alias("humidity"),
+        F.col("main.pressure").alias("pressure"),
+        F.col("wind.speed").alias("wind_speed"),
+        F.coalesce(F.col("wind.deg"), F.lit(0)).alias("wind_direction"),
+        F.coalesce(F.col("visibility"), F.lit(0)).alias("visibility"),
         first.getField("main").alias("weather_condition"),
         first.getField("description").alias("weather_description"),
-        F.col("p.clouds.all").alias("cloudiness"),
-        F.timestamp_seconds(F.col("p.dt")).alias("recorded_at"),
+        F.col("clouds.all").alias("cloudiness"),
+        F.timestamp_seconds(F.col("dt")).alias("recorded_at"),
     )
     from stratus.operators.joins import broadcast_if_bounded
 

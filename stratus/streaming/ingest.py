@@ -65,10 +65,15 @@ def _trigger(writer, trigger: dict | None):
 
 
 def start_ingest(parsed: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Append sink partitioned by year/month/day/hour (late rows are kept: no state)."""
+                 trigger: dict | None = None, query_name: str | None = None,
+                 partition_cols: list[str] | None = None) -> StreamingQuery:
+    """Append sink, partitioned by year/month/day/hour unless ``partition_cols`` says
+    otherwise (``[]``: unpartitioned).  Without state, late rows are kept."""
+    cols = PARTITION_COLUMNS if partition_cols is None else partition_cols
     w = (parsed.writeStream.format(fmt).outputMode("append")
-               .option("checkpointLocation", checkpoint).partitionBy(*PARTITION_COLUMNS))
+               .option("checkpointLocation", checkpoint))
+    if cols:
+        w = w.partitionBy(*cols)
     if query_name:
         w = w.queryName(query_name)
     return _trigger(w, trigger).start(sink)
