@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Default row bound for broadcasting an aggregated side (conf-overridable).
@@ -28,24 +28,35 @@ def _conf(df: DataFrame, key: str, default: int) -> int:
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint under ``spark.checkpoint.dir``."""
+    return materialize_counted(df)[0]
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Reliable checkpoint plus its row count, from one job (an ``Observation``)."""
     from stratus.session import shared_dir
 
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    obs = Observation()
+    cp = df.observe(obs, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return cp, int(obs.get["rows"])
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                  count_col: str | None = None, max_rows: int | None = None,
-                 rows_per_task: int | None = None) -> tuple[DataFrame, str]:
+                 rows_per_task: int | None = None, small_rows: int | None = None) -> tuple[DataFrame, str]:
     """Join ``big`` with an aggregated ``small`` side.
 
     ``count_col`` (rows of ``big`` per key, as produced by the aggregation)
-    lets the fallback salt hot keys.  Returns the joined frame and the
-    strategy used (``broadcast`` / ``salted`` / ``shuffle``).
+    lets the fallback salt hot keys.  ``small_rows``: the small side's row
+    count when already known (it is then cheap to recompute, e.g. derived
+    from a checkpointed table) - no new checkpoint is taken.  Returns the
+    joined frame and the strategy used (``broadcast`` / ``salted`` / ``shuffle``).
     """
-    small = materialize(small)
+    if small_rows is None:
+        small, n = materialize_counted(small)
+    else:
+        n = small_rows
     limit = max_rows if max_rows is not None else _conf(big, BROADCAST_ROWS_CONF, BROADCAST_ROWS_DEFAULT)
-    n = small.count()
     if n <= limit:
         return big.join(F.broadcast(small), on, how), "broadcast"
     if count_col is None or how not in ("inner", "left"):

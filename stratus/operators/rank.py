@@ -22,7 +22,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.operators.joins import join_checked, materialize
+from stratus.operators.joins import join_checked, materialize_counted
 
 VALUES_PER_BUCKET_CONF = "stratus.rank.valuesPerBucket"
 VALUES_PER_BUCKET_DEFAULT = 2_000_000
@@ -33,8 +33,7 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
     spark = df.sparkSession
     per_bucket = values_per_bucket or int(spark.conf.get(VALUES_PER_BUCKET_CONF, str(VALUES_PER_BUCKET_DEFAULT)))
     v = F.col(value)
-    counts = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")))
-    n_distinct = counts.count()
+    counts, n_distinct = materialize_counted(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")))
     n_buckets = max(1, math.ceil(n_distinct / per_bucket))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -65,5 +64,6 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
     keyed = keyed.withColumn("_vnull", v.isNull())
     ranks = (ranks.withColumn("_vkey", F.coalesce(v.cast("double"), F.lit(float("inf"))))
                   .withColumn("_vnull", v.isNull()).drop(value))
-    out, _ = join_checked(keyed, ranks, ["_vkey", "_vnull"], count_col="_n")
+    # ranks has one row per distinct value and derives from the checkpoint.
+    out, _ = join_checked(keyed, ranks, ["_vkey", "_vnull"], count_col="_n", small_rows=n_distinct)
     return out.drop("_vkey", "_vnull", "_n")

@@ -153,3 +153,16 @@ def route(checked: DataFrame, value: str = "value", keep: list[str] | None = Non
 
     second = F.when(F.col("is_valid"), msg(TOPIC_VALID, norm_json)).otherwise(msg(TOPIC_INVALID, bad_json))
     return checked.select(*keep, F.inline(F.array(msg(TOPIC_RAW, F.col(value).cast("string")), second)))
+
+
+def write_routed(routed: DataFrame, target: str, fmt: str = "parquet", options: dict | None = None) -> None:
+    """Publish routed messages.
+
+    Kafka: one write, the ``topic`` column names each row's topic.  Files:
+    one table partitioned by topic (a single pass, no per-topic re-scan).
+    """
+    out = routed.select("topic", "key", "value")
+    if fmt == "kafka":
+        out.write.format("kafka").options(**(options or {})).save()
+        return
+    out.write.mode("append").format(fmt).partitionBy("topic").save(target)
