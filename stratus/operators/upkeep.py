@@ -40,7 +40,20 @@ REPORT_SCHEMA = T.StructType([
 
 
 def table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One row per data file: path, size, modification time."""
+    """One row per data file: path, size, modification time.
+
+    File formats: a distributed listing through the ``binaryFile`` source
+    with the content column pruned, so the cost follows the number of files,
+    not rows (hidden ``_``/``.`` entries such as ``_temporary`` are skipped).
+    Log-based formats (Delta) and streaming sinks must respect their commit
+    log: there the hidden ``_metadata`` columns of a scan are aggregated per
+    file instead.
+    """
+    if fmt in FILE_FORMATS and not _is_stream_sink(path):
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                     .option("pathGlobFilter", f"*.{fmt}").load(path)
+                     .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
+                             F.col("modificationTime").alias("modified_at")))
     return (spark.read.format(fmt).load(path)
                  .select(F.col("_metadata.file_path").alias("file_path"),
                          F.col("_metadata.file_size").alias("file_size"),
@@ -49,6 +62,14 @@ def table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
                                            F.max("modified_at").alias("modified_at")))
 
 
+FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
+
+
+def _is_stream_sink(path: str) -> bool:
+    lp = local_fs_path(path)
+    return lp is not None and os.path.isdir(os.path.join(lp, "_spark_metadata"))
+
+
 def table_metrics(spark: SparkSession, path: str, fmt: str = "parquet", version: int = 0) -> DataFrame:
     """One row: table_version, num_files, size_bytes."""
     files = table_files(spark, path, fmt)
@@ -145,10 +166,15 @@ def maintenance_status(runs: DataFrame, reports: DataFrame, key: str = "run_id")
 
 
 def partition_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Readiness check: fail when the table is missing, else partitions per year."""
+    """Readiness check: fail when the table is missing, else partitions per year.
+
+    Partition values are read from the data files' paths (``year=.../hour=...``),
+    so the check lists files instead of scanning rows.
+    """
     lp = local_fs_path(path)
     if lp is not None and not os.path.exists(lp):
         raise FileNotFoundError(f"table not found: {path}")
-    df = spark.read.format(fmt).load(path)
-    parts = df.select(*PARTITION_COLUMNS).distinct()
+    files = table_files(spark, path, fmt)
+    parts = files.select(*[F.regexp_extract("file_path", rf"/{c}=([^/]*)/", 1).try_cast("int").alias(c)
+                           for c in PARTITION_COLUMNS]).distinct()
     return parts.groupBy("year").agg(F.count(F.lit(1)).alias("partitions"))
