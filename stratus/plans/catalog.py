@@ -294,7 +294,7 @@ def normalize_records(spark, sf_dir):
     "SELECT message_id, is_valid, error_count FROM checked", validation_ctes()))
 def valid_records(spark, sf_dir):
     """O-30: range and type rules; one verdict per record."""
-    return _checked(spark, sf_dir).select("message_id", "is_valid", F.size("errors").alias("error_count"))
+    return _checked(spark, sf_dir).select("message_id", "is_valid", F.size("errors").cast("long").alias("error_count"))
 
 
 @register("invalid_records", with_obs("""
@@ -304,7 +304,7 @@ def invalid_records(spark, sf_dir):
     """O-31: invalid records with their key and failed fields."""
     c = _checked(spark, sf_dir)
     return (c.filter(~F.col("is_valid"))
-             .select("message_id", V.message_key(c).alias("key"), F.size("errors").alias("error_count"),
+             .select("message_id", V.message_key(c).alias("key"), F.size("errors").cast("long").alias("error_count"),
                      F.array_join(F.transform("errors", lambda x: x["loc"]), ",").alias("fields")))
 
 
