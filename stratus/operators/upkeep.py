@@ -7,7 +7,6 @@ receives one-row summaries.
 
 from __future__ import annotations
 
-import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.schemas import PARTITION_COLUMNS
-from stratus.session import local_fs_path
+from stratus.session import path_exists
 
 # Fixed value: default retention for old-file removal, in hours (7 days).
 RETENTION_HOURS = 168
@@ -49,7 +48,7 @@ def table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     log: there the hidden ``_metadata`` columns of a scan are aggregated per
     file instead.
     """
-    if fmt in FILE_FORMATS and not _is_stream_sink(path):
+    if fmt in FILE_FORMATS and not _is_stream_sink(spark, path):
         return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                      .option("pathGlobFilter", f"*.{fmt}").load(path)
                      .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
@@ -65,9 +64,8 @@ def table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
 
 
-def _is_stream_sink(path: str) -> bool:
-    lp = local_fs_path(path)
-    return lp is not None and os.path.isdir(os.path.join(lp, "_spark_metadata"))
+def _is_stream_sink(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
 def table_metrics(spark: SparkSession, path: str, fmt: str = "parquet", version: int = 0) -> DataFrame:
@@ -171,8 +169,7 @@ def partition_inventory(spark: SparkSession, path: str, fmt: str = "parquet") ->
     Partition values are read from the data files' paths (``year=.../hour=...``),
     so the check lists files instead of scanning rows.
     """
-    lp = local_fs_path(path)
-    if lp is not None and not os.path.exists(lp):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"table not found: {path}")
     files = table_files(spark, path, fmt)
     parts = files.select(*[F.regexp_extract("file_path", rf"/{c}=([^/]*)/", 1).try_cast("int").alias(c)

@@ -94,3 +94,28 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the session's Hadoop FileSystem (any scheme: file, hdfs, s3a...)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
+
+
+# Settings recommended for a large cluster (not applied by the library: a
+# cluster session keeps its own).  Shuffle partitions start high and AQE
+# coalesces them; skewed joins are split; the dedup stream keeps its state in
+# RocksDB so it is not bounded by executor heap.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.session.timeZone": "UTC",
+}

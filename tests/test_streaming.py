@@ -84,3 +84,15 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
     assert back.count() == 2  # one row per batch after within-batch dedup
     assert sorted(r["batch_id"] for r in back.collect()) == [0, 1]
     assert back.first()["temperature_category"] == "warm"
+
+
+def test_metrics_on_stream_sink_count_committed_files_only(spark, tmp_dir):
+    from stratus.operators import upkeep as U
+    t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
+    src, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "sink", "ckpt"))
+    _stage(spark, src, [_msg(0, "Paris", t0), _msg(1, "Tokyo", t0)])
+    _run(spark, "ingest", src, sink, ckpt)
+    # a stray file dropped into the sink folder outside the stream is not part of the table
+    spark.createDataFrame([(1,)], "x int").write.parquet(os.path.join(sink, "year=2026", "stray"))
+    committed = spark.read.parquet(sink).select("_metadata.file_path").distinct().count()
+    assert U.table_metrics(spark, sink).first()["num_files"] == committed
