@@ -472,7 +472,10 @@ def analytics_run(spark, sf_dir, base: str | None = None, fmt: str = "parquet"):
 
     base = base or scratch_path(spark, "analytics")
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    scan = obs(spark, sf_dir).select(*A.JOB_COLUMNS).persist()
+    from pyspark import StorageLevel
+    # Pruned to the ten job columns; spills to disk rather than failing, and a
+    # lost executor's blocks are recomputed from the scan.
+    scan = obs(spark, sf_dir).select(*A.JOB_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         jobs = A.jobs_from_scan(scan)
         out = {}
