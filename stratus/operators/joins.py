@@ -9,8 +9,6 @@ spread over several tasks instead of one.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -91,14 +89,6 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], count_col: str,
     return big_s.join(small_s, on + ["_salt"], how).drop("_salt")
 
 
-def salt_count(n_rows: int, rows_per_task: int) -> int:
-    return max(1, math.ceil(n_rows / rows_per_task))
-
-
-def col_list(cols) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
-
-
 DIMENSION_ROWS_CONF = "stratus.broadcast.dimensionMaxRows"
 DIMENSION_ROWS_DEFAULT = 100_000
 _dimension_checks: dict[tuple[str, str], bool] = {}

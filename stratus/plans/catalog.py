@@ -10,11 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratus.operators import analytics as A
-from stratus.plans.oracle import avg2_sql, with_obs
-from stratus.session import configure
-from stratus.sources.observations import observations
+from stratus.operators import enrich as EN
+from stratus.operators import quality as Q
+from stratus.operators import runlog as RL
+from stratus.operators import upkeep as U
+from stratus.operators import validate as V
+from stratus.plans import models as M
+from stratus.plans.oracle import (
+    HEAT_DUCK, MART_SELECT_DUCK, NORMALIZED_SELECT_DUCK, REPLAY_DEDUP_CTES, STAGING_DUCK, TEMP_BAND_DUCK,
+    WIND_STREAM_DUCK, avg2_sql, mart_duck, mode_sql, title_duck, validation_ctes, with_obs)
+from stratus.session import configure, scratch_path
+from stratus.sources import messages as MS
+from stratus.sources.lake import read_table, write_partitioned, write_table
+from stratus.sources.observations import city_dimension, observations
+from stratus.streaming import fixtures as SF
+from stratus.streaming import ingest as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -152,13 +165,6 @@ def anomaly_detection(spark, sf_dir):
 
 # ----------------------------------------------------------- enrichment --
 
-from stratus.operators import enrich as EN  # noqa: E402
-from stratus.plans import models as M  # noqa: E402
-from stratus.plans.oracle import (  # noqa: E402
-    HEAT_DUCK, MART_SELECT_DUCK, REPLAY_DEDUP_CTES, STAGING_DUCK, TEMP_BAND_DUCK,
-    WIND_STREAM_DUCK, mart_duck, mode_sql)
-
-
 @register("temperature_category", with_obs(
     f"SELECT kafka_offset, temperature, {TEMP_BAND_DUCK} AS temperature_category FROM obs"))
 def temperature_category(spark, sf_dir):
@@ -171,7 +177,6 @@ def temperature_category(spark, sf_dir):
     f"SELECT kafka_offset, temperature, humidity, {HEAT_DUCK} AS heat_index FROM obs"))
 def heat_index_q(spark, sf_dir):
     """O-18."""
-    from pyspark.sql import functions as F
     return (EN.add_heat_index(obs(spark, sf_dir))
             .select("kafka_offset", "temperature", "humidity", (F.col("heat_index") + 0.0).alias("heat_index")))
 
@@ -195,7 +200,6 @@ SELECT *, {TEMP_BAND_DUCK} AS temperature_category, {HEAT_DUCK} AS heat_index,
 FROM dedup""", REPLAY_DEDUP_CTES))
 def enrich_batch(spark, sf_dir):
     """O-24, O-25: dedup -> bands -> heat index -> wind band -> lineage (processed_at left out)."""
-    from pyspark.sql import functions as F
     out = EN.transform_batch(EN.with_replay(obs(spark, sf_dir)))
     return out.drop("processed_at").withColumn("heat_index", F.col("heat_index") + 0.0)
 
@@ -236,13 +240,6 @@ def dominant_conditions(spark, sf_dir):
 
 # ------------------------------------------------------ wire encodings --
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from stratus.operators import validate as V  # noqa: E402
-from stratus.plans.oracle import NORMALIZED_SELECT_DUCK, title_duck, validation_ctes  # noqa: E402
-from stratus.sources import messages as MS  # noqa: E402
-from stratus.sources.observations import city_dimension  # noqa: E402
-
 
 @register("flatten_payload", with_obs("""
 SELECT kafka_offset AS message_id, city, country, temperature, feels_like, humidity, pressure, wind_speed,
@@ -321,8 +318,7 @@ UNION ALL SELECT 'validated_weather_stream', COUNT(*) FROM checked WHERE is_vali
 UNION ALL SELECT 'invalid_weather_stream', COUNT(*) FROM checked WHERE NOT is_valid""", validation_ctes()))
 def route_summary(spark, sf_dir):
     """O-10: routed messages written to a topic-partitioned table, counted per topic."""
-    from stratus.session import scratch_path as _sp
-    target = _sp(spark, "topics")
+    target = scratch_path(spark, "topics")
     V.write_routed(V.route(_checked(spark, sf_dir)), target)
     return spark.read.parquet(target).groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
@@ -335,9 +331,6 @@ def route_topics(spark, sf_dir):
 
 # --------------------------------------------------------- data quality --
 
-from stratus.operators import quality as Q  # noqa: E402
-from stratus.operators import runlog as RL  # noqa: E402
-
 
 def _dq_union_duck(scope: str, source: str, rules: list[tuple[str, str, str]]) -> str:
     parts = [f"SELECT '{scope}' AS scope, '{chk}' AS check_name, '{col}' AS column_name, "
@@ -406,8 +399,6 @@ def _incoming_runs(o):
 
 def _run_log(spark, sf_dir):
     """Write the hourly run log, then idempotently append a batch with retries."""
-    from stratus.session import scratch_path
-    from stratus.sources.lake import read_table, write_table
     from stratus.schemas import RUN_LOG_SCHEMA
     o = obs(spark, sf_dir)
     path = scratch_path(spark, "run_log")
@@ -441,11 +432,6 @@ def latest_run(spark, sf_dir):
 
 # --------------------------------------------------------------- sinks --
 
-from stratus.operators import upkeep as U  # noqa: E402
-from stratus.schemas import PARTITION_COLUMNS  # noqa: E402
-from stratus.session import scratch_path  # noqa: E402
-from stratus.sources.lake import read_table, write_partitioned, write_table  # noqa: E402
-
 
 def _write_lake(spark, sf_dir, mode="overwrite"):
     """Partitioned lake table of the observations; returns (path, schema)."""
@@ -599,8 +585,6 @@ def maintenance_status(spark, sf_dir):
 
 # ----------------------------------------------------------- streaming --
 
-from stratus.streaming import fixtures as SF  # noqa: E402
-from stratus.streaming import ingest as ST  # noqa: E402
 
 _PARSED_COLS = ("city, country, temperature, feels_like, humidity, pressure, wind_speed, wind_direction, "
                 "visibility, weather_condition, weather_description, cloudiness, recorded_at, latitude, "

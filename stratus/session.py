@@ -8,7 +8,6 @@ the bench) do we pick a temporary folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,23 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/stratus/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str | None:
-    """Filesystem path for ``file:`` URIs, else None (remote storage)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" not in path:
-        return path
-    return None
-
-
-def conf_int(spark: SparkSession, key: str, default: int) -> int:
-    return int(spark.conf.get(key, str(default)))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the session's Hadoop FileSystem (any scheme: file, hdfs, s3a...)."""
     jvm = spark.sparkContext._jvm
