@@ -33,4 +33,8 @@ def stage(obs: DataFrame, path: str, cond=None, replay: bool = False, broken_eve
     df = obs if cond is None else obs.filter(cond)
     if replay:
         df = df.withColumn("kafka_offset", F.col("kafka_offset") + F.lit(REPLAY_OFFSET))
-    encode_messages(df, broken_every=broken_every).write.mode("append").parquet(path)
+    # Files cover contiguous event-time ranges, like a time-ordered feed: each
+    # streaming task then writes only the hour directories of its own range.
+    n = df.sparkSession.sparkContext.defaultParallelism
+    (encode_messages(df, broken_every=broken_every).repartitionByRange(n, "timestamp")
+        .write.mode("append").parquet(path))
