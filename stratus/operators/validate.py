@@ -159,9 +159,12 @@ def write_routed(routed: DataFrame, target: str, fmt: str = "parquet", options:
     """Publish routed messages.
 
     Kafka: one write, the ``topic`` column names each row's topic.  Files:
-    one table partitioned by topic (a single pass, no per-topic re-scan).
+    one table partitioned by topic (a single pass, no per-topic re-scan);
+    ``partition`` / ``offset`` / ``timestamp`` columns, when present, are kept
+    so a topic folder can feed the streaming file source.
     """
-    out = routed.select("topic", "key", "value")
+    meta = [c for c in ("partition", "offset", "timestamp") if c in routed.columns]
+    out = routed.select("topic", "key", "value", *meta)
     if fmt == "kafka":
         out.write.format("kafka").options(**(options or {})).save()
         return
