@@ -37,6 +37,7 @@ FLOAT_FIELDS = ["temperature", "feels_like", "wind_speed", "latitude", "longitud
 INTEGER_FIELDS = ["humidity", "pressure", "wind_direction", "visibility", "cloudiness"]
 ROUND_FIELDS = ["temperature", "feels_like", "wind_speed"]
 
+# Topic names of the three routed streams.
 TOPIC_RAW = "raw_weather_stream"
 TOPIC_VALID = "validated_weather_stream"
 TOPIC_INVALID = "invalid_weather_stream"

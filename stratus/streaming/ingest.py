@@ -20,7 +20,8 @@ from stratus.operators.enrich import DEDUP_KEYS, transform_batch
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.sources.messages import parse_messages
 
-# Event-time lateness bound and documented micro-batch interval.
+# Event-time lateness bound, documented micro-batch interval and
+# the topic the ingest subscribes to.
 WATERMARK_DELAY = "10 minutes"
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 VALIDATED_TOPIC = "validated_weather_stream"
