@@ -447,40 +447,10 @@ def analytics_tables(spark, sf_dir, base: str | None = None, fmt: str = "parquet
 
 
 def analytics_run(spark, sf_dir, base: str | None = None, fmt: str = "parquet"):
-    """Run the batch analyses and return (table paths, run-log row as a DataFrame).
-
-    The run record carries real counts (rows processed, jobs written), not
-    placeholders: rows come from the shared city profile, which counts every
-    scanned row once.
-    """
-    import datetime as _dt
-    from pyspark.sql import types as T
-
-    base = base or scratch_path(spark, "analytics")
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    from pyspark import StorageLevel
-    # Pruned to the ten job columns; spills to disk rather than failing, and a
-    # lost executor's blocks are recomputed from the scan.
-    scan = obs(spark, sf_dir).select(*A.JOB_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        jobs = A.jobs_from_scan(scan)
-        out = {}
-        for name, df in jobs.items():
-            path = f"{base}/{name}"
-            write_table(df, path, fmt)
-            out[name] = path
-        records = read_table(spark, out["avg_temperature_by_city"]).agg(F.sum("record_count")).first()[0] or 0
-    finally:
-        scan.unpersist()
-    completed = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    schema = T.StructType([T.StructField("run_id", T.StringType()), T.StructField("job_name", T.StringType()),
-                           T.StructField("started_at", T.TimestampNTZType()),
-                           T.StructField("completed_at", T.TimestampNTZType()),
-                           T.StructField("records_processed", T.LongType()), T.StructField("status", T.StringType()),
-                           T.StructField("jobs_run", T.IntegerType())])
-    run = spark.createDataFrame([(f"batch_analysis__{started.isoformat()}", "batch_analysis", started, completed,
-                                  int(records), "success", len(out))], schema)
-    return out, run
+    """Batch analyses over the observations; returns (table paths, run record)."""
+    from stratus.plans.jobs import batch_analysis
+
+    return batch_analysis(obs(spark, sf_dir), base or scratch_path(spark, "analytics"), fmt)
 
 
 def _roundtrip_oracle() -> str:
