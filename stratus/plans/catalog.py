@@ -33,11 +33,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """Expose instants as ``timestamp_ntz`` holding UTC wall-clock time.
+
+    Internally event time is ``timestamp`` (watermarks need it).  Results are
+    handed out without a zone, so a client in any local time zone (PySpark
+    converts ``timestamp`` to the client's zone on collect) and a SQL engine
+    with naive ``TIMESTAMP`` see the same values.
+    """
+    from pyspark.sql import types as T
+
+    if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def register(name: str, oracle: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(spark, sf_dir)
+            return naive_timestamps(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
