@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Split into runs of letters and single non-letters (zero-width boundaries).
-_LETTER_BOUNDARY = r"(?<=[^\p{L}])|(?=[^\p{L}])"
+# A private-use sentinel (U+E000) marks the spaces inserted after each
+# non-letter; it does not occur in city names.
+_MARK = "\ue000"
 
 
 def _col(c) -> Column:
@@ -16,12 +17,14 @@ def _col(c) -> Column:
 def title_case(c) -> Column:
     """Title case that capitalises after *any* non-letter, like ``str.title``.
 
-    ``initcap`` alone only restarts words at spaces (``o'brien`` would stay
-    ``O'brien``); capitalising each letter run separately fixes that.
-    Leading/trailing whitespace is kept.
+    ``initcap`` alone only restarts words after spaces (``o'brien`` would stay
+    ``O'brien``).  Inserting a marked space after every non-letter, applying
+    ``initcap`` and removing the marks gives the same result with plain
+    string expressions (no lambda, so the projection stays in whole-stage
+    codegen).  Leading/trailing whitespace is kept.
     """
-    parts = F.split(_col(c), _LETTER_BOUNDARY)
-    return F.array_join(F.transform(parts, lambda p: F.initcap(p)), "")
+    spaced = F.regexp_replace(_col(c), r"([^\p{L}])", "$1" + _MARK + " ")
+    return F.regexp_replace(F.initcap(spaced), _MARK + " ", "")
 
 
 def strip_lower(c) -> Column:

@@ -43,9 +43,13 @@ TOPIC_VALID = "validated_weather_stream"
 TOPIC_INVALID = "invalid_weather_stream"
 
 
+ERROR_TYPE = "array<struct<loc:string,type:string,msg:string,input:string>>"
+
+
 def _err(loc: str, typ: str, msg: str, raw: Column | None) -> Column:
-    return F.struct(F.lit(loc).alias("loc"), F.lit(typ).alias("type"), F.lit(msg).alias("msg"),
-                    (raw if raw is not None else F.lit(None).cast("string")).alias("input"))
+    """A one-element error list (lists are concatenated with ``flatten``)."""
+    return F.array(F.struct(F.lit(loc).alias("loc"), F.lit(typ).alias("type"), F.lit(msg).alias("msg"),
+                            (raw if raw is not None else F.lit(None).cast("string")).alias("input")))
 
 
 def decode_lax(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -107,7 +111,9 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
             else:
                 typed[f] = txt
         errs.append(e)
-    errors = F.filter(F.array(*errs), lambda x: x.isNotNull())
+    # Each rule gives [] or [error]; flatten keeps every failure in field order.
+    no_error = F.array().cast(ERROR_TYPE)
+    errors = F.flatten(F.array(*[F.coalesce(e, no_error) for e in errs]))
     out = df.select("*", *[c.alias(f"v_{f}") for f, c in typed.items()], errors.alias("errors"))
     return out.withColumn("is_valid", F.size("errors") == 0)
 

@@ -319,7 +319,7 @@ def invalid_records(spark, sf_dir):
     c = _checked(spark, sf_dir)
     return (c.filter(~F.col("is_valid"))
              .select("message_id", V.message_key(c).alias("key"), F.size("errors").cast("long").alias("error_count"),
-                     F.array_join(F.transform("errors", lambda x: x["loc"]), ",").alias("fields")))
+                     F.array_join(F.col("errors.loc"), ",").alias("fields")))
 
 
 @register("error_report", with_obs(
