@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions.text import is_blank, strip_lower, title_case
-from stratus.schemas import OBSERVATION_FIELDS, RAW_TEXT_SCHEMA
+from stratus.schemas import DOUBLE_FIELDS, INT_FIELDS, OBSERVATION_FIELDS, RAW_TEXT_SCHEMA
 
 # Inclusive valid ranges (None = unbounded) and their messages.
 RANGES = {
@@ -33,8 +33,8 @@ MSG = {
     "int_from_float": "Input should be a valid integer, got a number with a fractional part",
     "datetime_parsing": "Input should be a valid datetime",
 }
-FLOAT_FIELDS = ["temperature", "feels_like", "wind_speed", "latitude", "longitude"]
-INTEGER_FIELDS = ["humidity", "pressure", "wind_direction", "visibility", "cloudiness"]
+FLOAT_FIELDS = DOUBLE_FIELDS
+INTEGER_FIELDS = INT_FIELDS
 ROUND_FIELDS = ["temperature", "feels_like", "wind_speed"]
 
 # Topic names of the three routed streams.

@@ -13,7 +13,6 @@ OBSERVATION_FIELDS = [
 
 INT_FIELDS = ["humidity", "pressure", "wind_direction", "visibility", "cloudiness"]
 DOUBLE_FIELDS = ["temperature", "feels_like", "wind_speed", "latitude", "longitude"]
-STRING_FIELDS = ["city", "country", "weather_condition", "weather_description"]
 
 # Wire format of a validated message: numbers are doubles (not 32-bit floats,
 # which leak representation error into 2-dp results), time is ISO-8601 text.
@@ -65,11 +64,6 @@ PAYLOAD_SCHEMA = T.StructType([
 
 PARTITION_COLUMNS = ["year", "month", "day", "hour"]
 
-# Columns of a stored (parsed) observation row.
-STORED_COLUMNS = OBSERVATION_FIELDS + [
-    "schema_version", "kafka_timestamp", "kafka_offset", "kafka_partition",
-] + PARTITION_COLUMNS
-
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("job_name", T.StringType(), False),
