@@ -582,31 +582,43 @@ _PARSED_COLS = ("city, country, temperature, feels_like, humidity, pressure, win
 def _stream(spark, sf_dir, kind: str, replay: bool, broken_every=None, extra_noop_run=False,
             partitioned: bool = True):
     """Stage message groups one at a time; after each, one availableNow run of ``kind``."""
-    # One staged file per group (no spread): the partitioned sink then writes
-    # one file per hour per batch instead of one per hour per task.
+    return _streams(spark, sf_dir, [kind], replay, broken_every, extra_noop_run, partitioned)[kind]
+
+
+def _streams(spark, sf_dir, kinds: list[str], replay: bool, broken_every=None, extra_noop_run=False,
+             partitioned: bool = True) -> dict[str, DataFrame]:
+    """Like ``_stream`` for several queries reading one staged source (each with its own
+    sink and checkpoint); returns each sink's batch read."""
+    # One staged file range per task (see fixtures.stage): the partitioned sink
+    # then writes each hour from one task.
     o = observations(spark, sf_dir, with_parts=False)
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", f"{kind}_sink", f"{kind}_ckpt"))
+    src = scratch_path(spark, "messages")
+    dirs = {k: (scratch_path(spark, f"{k}_sink"), scratch_path(spark, f"{k}_ckpt")) for k in kinds}
     groups = [(c, False) for c in SF.slices(o, 3)] + ([(None, True)] if replay else [])
-    parsed_schema = None
 
-    def start():
-        parsed = ST.parse_stream(ST.read_messages(spark, src))
-        if kind == "enrich":
-            return ST.start_enrich(parsed, sink, ckpt, trigger={"availableNow": True})
-        if kind == "dedup":
-            parsed = ST.dedup_stream(parsed)
-        cols = None if partitioned else []
-        return ST.start_ingest(parsed, sink, ckpt, trigger={"availableNow": True}, partition_cols=cols)
+    def starter(kind):
+        sink, ckpt = dirs[kind]
+
+        def start():
+            parsed = ST.parse_stream(ST.read_messages(spark, src))
+            if kind == "enrich":
+                return ST.start_enrich(parsed, sink, ckpt, trigger={"availableNow": True})
+            if kind == "dedup":
+                parsed = ST.dedup_stream(parsed)
+            cols = None if partitioned else []
+            return ST.start_ingest(parsed, sink, ckpt, trigger={"availableNow": True}, partition_cols=cols)
+        return start
 
     for cond, is_replay in groups:
         SF.stage(o, src, cond, replay=is_replay, broken_every=broken_every)
-        ST.run_available(start)
+        for k in kinds:
+            ST.run_available(starter(k))
     if extra_noop_run:
-        ST.run_available(start)
+        for k in kinds:
+            ST.run_available(starter(k))
     parsed_schema = ST.parse_stream(ST.read_messages(spark, src)).schema
-    if kind == "enrich":
-        return spark.read.parquet(sink)
-    return spark.read.schema(parsed_schema).parquet(sink)
+    return {k: (spark.read.parquet(dirs[k][0]) if k == "enrich"
+                else spark.read.schema(parsed_schema).parquet(dirs[k][0])) for k in kinds}
 
 
 @register("stream_ingest", ORACLE["parse_messages"])
@@ -631,8 +643,8 @@ def stream_dedup(spark, sf_dir):
     "SELECT kafka_offset + 1000000000000 AS kafka_offset, city, recorded_at FROM obs"))
 def stream_late_dropped(spark, sf_dir):
     """O-53: rows the raw ingest keeps but the stateful dedup drops (late or duplicate)."""
-    raw = _stream(spark, sf_dir, "ingest", replay=True, partitioned=False)
-    kept = _stream(spark, sf_dir, "dedup", replay=True, partitioned=False)
+    out = _streams(spark, sf_dir, ["ingest", "dedup"], replay=True, partitioned=False)
+    raw, kept = out["ingest"], out["dedup"]
     return (raw.join(kept.select("kafka_offset"), "kafka_offset", "left_anti")
                .select("kafka_offset", "city", "recorded_at"))
 
