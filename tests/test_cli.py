@@ -49,3 +49,19 @@ def test_cli_route_and_ingest(spark, tmp_dir, capsys):
     sink, ckpt = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
     out = run(capsys, "ingest", "--source", src, "--sink", sink, "--checkpoint", ckpt, "--available-now")
     assert spark.read.parquet(sink).count() == obs.count()
+
+
+def test_cli_ingest_dedup_and_enrich_modes(spark, tmp_dir, capsys):
+    from stratus.operators.enrich import with_replay
+    obs = observations(spark, SF, with_parts=False)
+    src = os.path.join(tmp_dir, "messages")
+    # the table and a replay of it in one batch: dedup keeps one row per (city, recorded_at)
+    encode_messages(with_replay(obs), broken_every=None).write.parquet(src)
+    for mode, expected in (("dedup", obs.count()), ("enrich", obs.count())):
+        sink, ckpt = os.path.join(tmp_dir, mode, "sink"), os.path.join(tmp_dir, mode, "ckpt")
+        run(capsys, "ingest", "--source", src, "--sink", sink, "--checkpoint", ckpt,
+            "--available-now", "--mode", mode)
+        back = spark.read.parquet(sink)
+        assert back.count() == expected, mode
+        if mode == "enrich":
+            assert {"temperature_category", "heat_index", "wind_category", "batch_id"} <= set(back.columns)
