@@ -42,11 +42,7 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
     else:
         bounds = []
     # Bucket 0 holds the largest values (and NaN); nulls go after every bucket.
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b >= v.cast("double")))
-    else:
-        bucket = F.lit(0)
+    bucket = _bucket_of(v.cast("double"), bounds, 0, len(bounds)) if bounds else F.lit(0)
     bucket = F.when(v.isNull(), F.lit(len(bounds) + 1)).otherwise(bucket)
     with_b = counts.withColumn("_bucket", bucket)
     w = (Window.partitionBy("_bucket").orderBy(v.desc_nulls_last())
@@ -67,3 +63,14 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
     # ranks has one row per distinct value and derives from the checkpoint.
     out, _ = join_checked(keyed, ranks, ["_vkey", "_vnull"], count_col="_n", small_rows=n_distinct)
     return out.drop("_vkey", "_vnull", "_n")
+
+
+def _bucket_of(v, bounds: list[float], lo: int, hi: int):
+    """Number of ``bounds`` (sorted descending) that are >= ``v``, as a binary-search
+    CASE tree: depth log2(n), plain comparisons only (stays in codegen).  NaN
+    compares below nothing, so it lands in bucket 0 like Spark's NaN-first order."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.lit(float(bounds[mid])) >= v, _bucket_of(v, bounds, mid + 1, hi)) \
+            .otherwise(_bucket_of(v, bounds, lo, mid))
