@@ -1,16 +1,18 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, simhash
+from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, secrets, simhash
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
+    "op4_secrets": secrets.op4_secrets,
     "op6_suffix_arrays": decontaminate.op6_suffix_arrays,
     "op8_mixing": mixing.op8_mixing,
 }
 
 ORACLE = {
     "op1_line_frequency": line_frequency.OP1_SQL,
+    "op4_secrets": secrets.OP4_SQL,
     "op6_suffix_arrays": decontaminate.OP6_SQL,
 }
