@@ -1,12 +1,13 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, secrets, simhash
+from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, secrets, simhash
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_simhash": simhash.op3_simhash,
     "op4_secrets": secrets.op4_secrets,
+    "op5_pii": pii.op5_pii,
     "op6_suffix_arrays": decontaminate.op6_suffix_arrays,
     "op8_mixing": mixing.op8_mixing,
 }
