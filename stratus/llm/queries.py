@@ -1,6 +1,6 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, secrets, simhash
+from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_secrets": secrets.op4_secrets,
     "op5_pii": pii.op5_pii,
     "op6_suffix_arrays": decontaminate.op6_suffix_arrays,
+    "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
 }
 
