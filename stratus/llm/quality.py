@@ -110,7 +110,7 @@ def score_texts(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarra
 
 def scorer(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS):
     """A column function text -> score in 0..1, learnt from the labelled documents that are not held out."""
-    model = docs.sparkSession.sparkContext.broadcast(train(sample(docs, labels, label, train_rows, TRAIN_CHARS)))
+    model = docs.sparkSession.sparkContext.broadcast(train(sample(docs, labels, label, train_rows, TRAIN_CHARS)[0]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, bias = model.value

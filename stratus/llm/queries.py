@@ -1,6 +1,6 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash
+from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_suffix_arrays": decontaminate.op6_suffix_arrays,
     "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
+    "op9_toxicity": toxicity.op9_toxicity,
 }
 
 ORACLE = {
