@@ -41,7 +41,6 @@ _ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64())
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(2)
 _A = (_rng.integers(0, 1 << 31, (BANDS * ROWS, 1), np.int64).astype(np.uint32) << 1) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, (BANDS * ROWS, 1), np.int64).astype(np.uint32)
 
 
 def normalised(line: bytes) -> bytes:
@@ -98,7 +97,6 @@ def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             part = h[at:min(at + step, e)]
             b = buffer[:, :len(part)]
             np.multiply(part, _A, out=b)
-            np.add(b, _B, out=b)
             if at == s:
                 b.min(1, out=out)
             else:
@@ -111,6 +109,20 @@ def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return which, keys.view(np.int64)
 
 
+def _slices(known: dict[int, bytes], chars: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """The lines in slices of about ``chars`` bytes (one line at least), so that arrays per character stay small."""
+    names, lines, size = [], [], 0
+    for name, line in known.items():
+        names.append(name)
+        lines.append(line)
+        size += len(line)
+        if size >= chars:
+            yield np.array(names, np.int64), lines
+            names, lines, size = [], [], 0
+    if names:
+        yield np.array(names, np.int64), lines
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text pass: documents to rows of ROW."""
     for batch in batches:
@@ -138,9 +150,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip((kind, key, a, b), _ARROW)], schema=_ARROW)
             if not known:
                 continue
-            names = np.fromiter(known, np.int64, len(known))
-            which, keys = band_keys(list(known.values()))
-            keys, member = keys.ravel(), np.repeat(names[which], BANDS)
+            member, keys = zip(*((np.repeat(names[which], BANDS), keys.ravel()) for names, lines in _slices(known)
+                                 for which, keys in [band_keys(lines)]))
+            member, keys = np.concatenate(member), np.concatenate(keys)
             order = np.lexsort((member, keys))
             keys, member = keys[order], member[order]
             first = np.append(True, keys[1:] != keys[:-1])[:len(keys)]

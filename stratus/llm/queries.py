@@ -1,6 +1,6 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash, toxicity
+from stratus.llm import chat, decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
@@ -12,10 +12,12 @@ QUERIES = {
     "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
+    "op10_chat": chat.op10_chat,
 }
 
 ORACLE = {
     "op1_line_frequency": line_frequency.OP1_SQL,
     "op4_secrets": secrets.OP4_SQL,
     "op6_suffix_arrays": decontaminate.OP6_SQL,
+    "op10_chat": chat.OP10_SQL,
 }
