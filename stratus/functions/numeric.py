@@ -10,19 +10,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c, scale: int = 2, places: int = 2) -> Column:
-    """Average rounded to ``places`` decimals, summed exactly.
-
-    Inputs carry at most ``scale`` decimals, so a DECIMAL(18, scale) sum is
-    exact: the rounded result no longer depends on summation order (and so on
-    partitioning), unlike ``round(avg(double))``.  Partial + final aggregation
-    is unchanged: the buffer is (decimal sum, count).
+def exact_avg(c, places: int = 2) -> Column:
+    """Average rounded half away from zero to ``places`` decimals, summed exactly and rounded once.
+
+    Values are summed as DECIMAL(24, 10) and the quotient is taken in whole
+    units of the last place, so the result depends neither on the order of the
+    rows nor on a second rounding.  A group holding a value that is no such
+    decimal (NaN, infinite, 1e14 or more) has the rounded plain average: NaN
+    stays NaN and nothing overflows.  Null values do not count; a group without
+    values has a null average.
     """
-    return F.round(F.avg(_col(c).cast(f"decimal(18,{scale})")), places).cast("double")
+    x = _col(c).cast("double")
+    dec = x.try_cast("decimal(24,10)")
+    total, n = F.sum(dec), F.count(dec).cast("decimal(18,0)")
+    scale = 10 ** places
+    den = F.greatest(n, F.lit(1)) * F.lit(2)
+    num = F.abs(total) * F.lit(2 * scale) + n
+    units = ((num - num % den) / den).cast("long")
+    exact = F.when(total < 0, -units).otherwise(units) / F.lit(float(scale))
+    return F.when(F.count(dec) == F.count(x), exact).otherwise(F.round(F.avg(x), places))
 
 
 def avg2(c) -> Column:
-    return exact_avg(c, 2, 2)
+    return exact_avg(c, 2)
 
 
 def round_signed(c: Column, places: int = 2) -> Column:
@@ -31,12 +41,14 @@ def round_signed(c: Column, places: int = 2) -> Column:
 
 
 def guarded_corr(x, y) -> Column:
-    """Pearson correlation, null (not an error) for a constant column.
+    """Pearson correlation over complete pairs, null (not an error) for a constant column.
 
     Under ANSI ``corr`` raises on a zero variance; covariance over the
-    product of the population deviations is the same statistic.
+    product of the population deviations is the same statistic.  A row that
+    lacks either value counts for neither deviation.
     """
     x, y = _col(x), _col(y)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 

@@ -70,7 +70,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], count_col: str,
     The hot-key table has at most ``total_rows / rows_per_task`` entries; its
     size is checked before it is broadcast (the target grows until it fits).
     Every salt of a hot key carries the key's small-side row, so each big row
-    matches exactly once whatever salt it draws.
+    matches exactly once whatever salt it draws.  The salt is a hash of the row,
+    so a retried stage draws the same one.
     """
     while True:
         hot = (small.filter(F.col(count_col) > rows_per_task)
@@ -81,7 +82,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], count_col: str,
     hot_b = F.broadcast(hot)
     nsalt = F.coalesce(F.col("_nsalt"), F.lit(1))
     big_s = (big.join(hot_b, on, "left")
-                .withColumn("_salt", F.pmod(F.monotonically_increasing_id(), nsalt.cast("long")).cast("int"))
+                .withColumn("_salt", F.pmod(F.xxhash64(*[c for c in big.columns]), nsalt.cast("long")).cast("int"))
                 .drop("_nsalt"))
     small_s = (small.join(hot_b, on, "left")
                     .withColumn("_salt", F.explode(F.sequence(F.lit(0), nsalt - 1)))

@@ -37,7 +37,7 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
     n_buckets = max(1, math.ceil(n_distinct / per_bucket))
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
-        bounds = sorted(set(b for b in counts.filter(v.isNotNull() & ~F.isnan(v))
+        bounds = sorted(set(b for b in counts.filter(v.isNotNull() & ~F.isnan(v.cast('double')))
                             .approxQuantile(value, probs, 0.001)), reverse=True)
     else:
         bounds = []
@@ -56,9 +56,11 @@ def rank_desc(df: DataFrame, value: str, rank_col: str = "rank",
              .select(v, (F.col("_off") + F.col("_before") + 1).cast("int").alias(rank_col),
                      F.col("_n")))
     # Join back on the value; a null value must match the null rank row.
-    keyed = df.withColumn("_vkey", F.coalesce(v.cast("double"), F.lit(float("inf"))))
+    # The key keeps the value's own type: long values beyond 2**53 stay apart.
+    key = F.coalesce(v, F.lit(0).cast(df.schema[value].dataType))
+    keyed = df.withColumn("_vkey", key)
     keyed = keyed.withColumn("_vnull", v.isNull())
-    ranks = (ranks.withColumn("_vkey", F.coalesce(v.cast("double"), F.lit(float("inf"))))
+    ranks = (ranks.withColumn("_vkey", key)
                   .withColumn("_vnull", v.isNull()).drop(value))
     # ranks has one row per distinct value and derives from the checkpoint.
     out, _ = join_checked(keyed, ranks, ["_vkey", "_vnull"], count_col="_n", small_rows=n_distinct)

@@ -41,8 +41,7 @@ def test_avg2_equals_exact_decimal_mean(spark, cents):
     df = spark.createDataFrame([(c / 100,) for c in cents], "x double")
     got = df.agg(avg2("x")).first()[0]
     exact = (Decimal(sum(cents)) / Decimal(100 * len(cents)))
-    # Spark keeps 6 decimals for a decimal(18,2) average, then rounds half up.
-    expected = float(exact.quantize(Decimal("0.000001"), ROUND_HALF_UP).quantize(Decimal("0.01"), ROUND_HALF_UP))
+    expected = float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
     assert got == expected
 
 
