@@ -9,9 +9,11 @@ stopped and never writes a batch twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -81,27 +83,46 @@ def start_ingest(parsed: DataFrame, sink: str, checkpoint: str, fmt: str = "parq
 
 
 def dedup_stream(parsed: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Cross-batch dedup: state kept per key for the watermark delay; late rows dropped."""
-    return parsed.dropDuplicatesWithinWatermark(keys or DEDUP_KEYS)
+    """Cross-batch dedup: state kept per key for the watermark delay; late rows dropped.
 
+    A row that lacks a key is like no other: it passes without state.  Within a
+    micro-batch any one of a key's rows may stay; ``transform_batch`` keeps the
+    lowest offset.
+    """
+    keys = keys or DEDUP_KEYS
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    return parsed.filter(whole).dropDuplicatesWithinWatermark(keys).unionByName(parsed.filter(~whole))
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The persistent id of the query that owns a checkpoint (Spark writes it before the first batch)."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"]
 
-def enriched_batch_writer(sink: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: enrich the micro-batch and overwrite its ``batch_id`` partition.
 
-    A batch replayed after a failure rewrites the same partition, so the
-    table never holds a batch twice.
+def enriched_batch_writer(sink: str, checkpoint: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: enrich the micro-batch and overwrite its own partitions.
+
+    Partitions are date parts, then the query's persistent id and the batch id:
+    a batch replayed after a failure rewrites the same partitions, while a query
+    with a new checkpoint, whose batches count from 0 again, has others.
     """
+    known: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        (transform_batch(batch).withColumn("batch_id", F.lit(batch_id))
+        if not known:
+            known.append(query_id(batch.sparkSession, checkpoint))
+        dates = [c for c in PARTITION_COLUMNS if c in batch.columns]
+        (transform_batch(batch).withColumn("query_id", F.lit(known[0])).withColumn("batch_id", F.lit(batch_id))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .format(fmt).partitionBy("batch_id").save(sink))
+            .format(fmt).partitionBy(*dates, "query_id", "batch_id").save(sink))
     return write
 
 
 def start_enrich(parsed: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
                  trigger: dict | None = None) -> StreamingQuery:
     w = (parsed.writeStream.option("checkpointLocation", checkpoint)
-               .foreachBatch(enriched_batch_writer(sink, fmt)))
+               .foreachBatch(enriched_batch_writer(sink, checkpoint, fmt)))
     return _trigger(w, trigger).start()
 
 

@@ -76,7 +76,11 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
     batch = spark.createDataFrame([_msg(0, "Paris", t0), _msg(1, "Paris", t0)], ST.MESSAGE_FILE_SCHEMA)
     from stratus.sources.messages import parse_messages
     parsed = parse_messages(batch)
-    write = ST.enriched_batch_writer(tmp_dir)
+    ckpt, tmp_dir = os.path.join(tmp_dir, "ckpt"), os.path.join(tmp_dir, "sink")
+    os.makedirs(ckpt)
+    with open(os.path.join(ckpt, "metadata"), "w") as f:
+        f.write('{"id":"a-query"}')
+    write = ST.enriched_batch_writer(tmp_dir, ckpt)
     write(parsed, 0)
     write(parsed, 0)     # replay of batch 0 after a failure
     write(parsed, 1)
@@ -86,6 +90,28 @@ def test_foreach_batch_replay_is_idempotent(spark, tmp_dir):
     assert back.first()["temperature_category"] == "warm"
 
 
+def test_new_checkpoint_keeps_earlier_batches(spark, tmp_dir):
+    t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
+    sink = os.path.join(tmp_dir, "sink")
+    for name, cities in (("one", ["Paris", "Tokyo", "Lagos"]), ("two", ["Oslo", "Lima"])):
+        src, ckpt = (os.path.join(tmp_dir, name, n) for n in ("src", "ckpt"))
+        _stage(spark, src, [_msg(i, c, t0) for i, c in enumerate(cities)])
+        _run(spark, "enrich", src, sink, ckpt)
+        _run(spark, "enrich", src, sink, ckpt)
+    back = spark.read.parquet(sink)
+    assert sorted(r["city"] for r in back.collect()) == ["Lagos", "Lima", "Oslo", "Paris", "Tokyo"]
+    assert {"year", "hour", "query_id", "batch_id"} <= set(back.columns)
+
+
+def test_rows_without_a_key_pass_the_dedup(spark, tmp_dir):
+    t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
+    src, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "sink", "ckpt"))
+    _stage(spark, src, [("k", "{broken", 0, i, t0) for i in range(4)] + [_msg(8, "Tokyo", t0), _msg(9, "Tokyo", t0)])
+    _run(spark, "dedup", src, sink, ckpt)
+    got = [r["kafka_offset"] for r in spark.read.parquet(sink).collect()]
+    assert sorted(got)[:4] == [0, 1, 2, 3] and len(got) == 5
+
+
 def test_metrics_on_stream_sink_count_committed_files_only(spark, tmp_dir):
     from stratus.operators import upkeep as U
     t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
