@@ -2,14 +2,14 @@
 
     python -m stratus ingest    --source DIR --sink DIR --checkpoint DIR [--format parquet|json|kafka]
                                 [--kafka-servers HOST:PORT] [--available-now | --trigger-seconds 30]
-                                [--mode raw|dedup|enrich]
+                                [--mode raw|dedup|enrich] [--sink-format parquet] [--max-files N]
     python -m stratus analytics --table DIR --out DIR
     python -m stratus models    --table DIR --mart DIR
     python -m stratus quality   --table DIR
     python -m stratus maintain  --table DIR --compacted DIR [--retention-hours 168]
     python -m stratus route     --raw DIR --out DIR
 
-Each command prints one JSON line describing what it did.
+Each command prints one JSON line describing what it did; ``quality`` exits with 1 if a rule failed.
 """
 
 from __future__ import annotations
@@ -31,14 +31,15 @@ def cmd_ingest(spark, a) -> dict:
     from stratus.streaming import ingest as ST
 
     opts = {"kafka.bootstrap.servers": a.kafka_servers} if a.format == "kafka" and a.kafka_servers else {}
-    parsed = ST.parse_stream(ST.read_messages(spark, a.source, fmt=a.format, options=opts))
+    parsed = ST.parse_stream(ST.read_messages(spark, a.source, fmt=a.format, options=opts,
+                                                max_files_per_trigger=a.max_files))
     trigger = {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds} seconds"}
     if a.mode == "enrich":
-        q = ST.start_enrich(parsed, a.sink, a.checkpoint, trigger=trigger)
+        q = ST.start_enrich(parsed, a.sink, a.checkpoint, a.sink_format, trigger=trigger)
     else:
         if a.mode == "dedup":
             parsed = ST.dedup_stream(parsed)
-        q = ST.start_ingest(parsed, a.sink, a.checkpoint, trigger=trigger)
+        q = ST.start_ingest(parsed, a.sink, a.checkpoint, a.sink_format, trigger=trigger)
     q.awaitTermination()
     return {"command": "ingest", "sink": a.sink, "batches": len(q.recentProgress)}
 
@@ -68,9 +69,11 @@ def cmd_quality(spark, a) -> dict:
 
     table = read_table(spark, a.table, a.table_format)
     stg = M.staging(table)
+    mart = M.mart(stg)
     checks = (Q.constraints(table)
               .unionByName(Q.not_null(stg, Q.STAGING_NOT_NULL, "stg_weather_events"))
-              .unionByName(Q.accepted_values(stg, Q.ACCEPTED_VALUES, "stg_weather_events")))
+              .unionByName(Q.accepted_values(stg, Q.ACCEPTED_VALUES, "stg_weather_events"))
+              .unionByName(Q.not_null(mart, Q.MART_NOT_NULL, "mart_city_weather_summary")))
     rows = [r.asDict() for r in checks.collect()]  # one row per rule: bounded
     return {"command": "quality", "failed": [r for r in rows if r["violations"] > 0], "rules": len(rows)}
 
@@ -95,7 +98,7 @@ def cmd_route(spark, a) -> dict:
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="stratus")
-    p.add_argument("--master", default="local[*]")
+    p.add_argument("--master", help="only to override the master of spark-submit or of the configuration")
     sub = p.add_subparsers(dest="command", required=True)
     i = sub.add_parser("ingest")
     i.add_argument("--source")
@@ -103,6 +106,8 @@ def main(argv=None) -> None:
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--format", default="parquet")
     i.add_argument("--kafka-servers")
+    i.add_argument("--sink-format", default="parquet")
+    i.add_argument("--max-files", type=int, help="files per micro-batch of a file source")
     i.add_argument("--available-now", action="store_true")
     i.add_argument("--trigger-seconds", type=int, default=30)
     i.add_argument("--mode", choices=["raw", "dedup", "enrich"], default="raw")
@@ -125,7 +130,10 @@ def main(argv=None) -> None:
     spark = _session(args)
     handlers = {"ingest": cmd_ingest, "analytics": cmd_analytics, "models": cmd_models,
                 "quality": cmd_quality, "maintain": cmd_maintain, "route": cmd_route}
-    print(json.dumps(handlers[args.command](spark, args), default=str))
+    result = handlers[args.command](spark, args)
+    print(json.dumps(result, default=str))
+    if args.command == "quality" and result["failed"]:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

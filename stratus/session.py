@@ -2,8 +2,8 @@
 
 The library never creates machine-local scratch space on a cluster: any
 intermediate table or checkpoint goes under the shared folder named by
-``spark.checkpoint.dir``.  Only when that setting is absent (local tests,
-the bench) do we pick a temporary folder ourselves.
+``spark.checkpoint.dir``.  Only where that setting is absent and the master is
+local (tests, the bench) do we pick a temporary folder ourselves.
 """
 
 from __future__ import annotations
@@ -30,13 +30,22 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "stratus", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session configured the way the library expects."""
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = {**DEFAULT_CONF, **REQUIRED_CONF,
-            "spark.sql.shuffle.partitions": str(shuffle_partitions),
-            "spark.driver.memory": "8g"}
+    """Create (or reuse) a session configured the way the library expects.
+
+    Master and shuffle partitions are set only if given: under ``spark-submit``
+    the cluster's own settings hold.  The driver memory is raised only for a
+    local master, where the driver is the executor.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    conf = {**DEFAULT_CONF, **REQUIRED_CONF}
+    if master:
+        builder = builder.master(master)
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = "8g"
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,8 +67,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared folder for checkpoints and written tables.
 
-    Reads ``spark.checkpoint.dir`` from the session.  When it is unset
-    (tests, a laptop) a fresh temporary folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  When it is unset, a
+    local master gets a fresh temporary folder; any other master is refused,
+    as executors would not share one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +77,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stratus-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

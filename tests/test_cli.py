@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from stratus import cli
 from stratus.sources.lake import write_partitioned
 from stratus.sources.messages import encode_messages, untidy_messages
@@ -26,9 +28,11 @@ def test_cli_batch_commands(spark, tmp_dir, capsys):
     out = run(capsys, "models", "--table", table, "--mart", os.path.join(tmp_dir, "mart"))
     assert out["rows"] > 0
 
-    out = run(capsys, "quality", "--table", table)
-    assert out["rules"] == 14 + 6 + 2
-    assert {r["column_name"] for r in out["failed"]} == {"humidity"}  # humidity > 100 on some rows
+    with pytest.raises(SystemExit) as failed:  # humidity > 100 on some rows
+        cli.main(["quality", "--table", table])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert failed.value.code == 1 and out["rules"] == 14 + 6 + 2 + 5
+    assert {r["column_name"] for r in out["failed"]} == {"humidity"}
 
     out = run(capsys, "maintain", "--table", table, "--compacted", os.path.join(tmp_dir, "compacted"))
     assert out["report"]["after"]["num_files"] >= 1
@@ -64,4 +68,4 @@ def test_cli_ingest_dedup_and_enrich_modes(spark, tmp_dir, capsys):
         back = spark.read.parquet(sink)
         assert back.count() == expected, mode
         if mode == "enrich":
-            assert {"temperature_category", "heat_index", "wind_category", "batch_id"} <= set(back.columns)
+            assert {"temperature_category", "heat_index", "wind_category", "query_id", "batch_id"} <= set(back.columns)
