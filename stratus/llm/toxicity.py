@@ -39,7 +39,8 @@ TRAIN_WORDS = 3000
 ROUNDS = 2
 #: A form's weight is the number of documents it speaks for to this power.
 POWER = 1.5
-RIDGE = 0.03
+RIDGE = 0.1
+BIAS = -1.0
 LANDMARKS = 256
 LENGTH = 3
 DECAY = 0.6
@@ -117,16 +118,17 @@ def subsequences(forms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return form, code, total / norm[form]
 
 
-def gram(x: list[str], y: list[str]) -> np.ndarray:
-    """Normalised kernel of all words of ``x`` with all of ``y``."""
+def gram(x: list[str], y: list[str], step: int = 128) -> np.ndarray:
+    """Normalised kernel of all forms of ``x`` with all of ``y``, ``step`` rows at a time to bound memory."""
     form, code, weight = subsequences(y)
     columns = np.zeros((_SIZE, len(y)), np.float32)
     columns[code, form] = weight
-    form, code, weight = subsequences(x)
-    out = np.zeros((len(x), len(y)))
-    edges = np.flatnonzero(np.append(True, form[1:] != form[:-1])) if len(form) else []
-    if len(form):
-        out[form[edges]] = np.add.reduceat(columns[code] * weight[:, None].astype(np.float32), edges)
+    out = np.zeros((len(x), len(y)), np.float32)
+    for at in range(0, len(x), step):
+        form, code, weight = subsequences(x[at:at + step])
+        edges = np.flatnonzero(np.append(True, form[1:] != form[:-1])[:len(form)])
+        if len(edges):
+            out[at + form[edges]] = np.add.reduceat(columns[code] * weight[:, None].astype(np.float32), edges)
     return out
 
 
@@ -139,17 +141,18 @@ def disguised(form: str, rng: np.random.Generator) -> str:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE, steps: int = 40) -> np.ndarray:
-    """Linear SVM with weighted squared hinge loss by Newton steps; the last weight is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """Linear SVM with weighted squared hinge loss by Newton steps.
+
+    The bias is fixed at ``BIAS``: a word like no landmark is as clean as a word can be.
+    """
     keep = np.full(x.shape[1], ridge)
-    keep[-1] = 1e-3
     w = np.zeros(x.shape[1])
 
     def loss(w):
-        return keep @ (w * w) / 2 + weight @ np.maximum(0, 1 - y * (x @ w)) ** 2 / 2
+        return keep @ (w * w) / 2 + weight @ np.maximum(0, 1 - y * (x @ w + BIAS)) ** 2 / 2
 
     for _ in range(steps):
-        gap = np.maximum(0, 1 - y * (x @ w))
+        gap = np.maximum(0, 1 - y * (x @ w + BIAS))
         inside = x[gap > 0]
         grad = keep * w - x.T @ (weight * y * gap)
         step = np.linalg.solve((inside.T * weight[gap > 0]) @ inside + np.diag(keep), grad)
@@ -172,12 +175,17 @@ class Machine:
         form, code, weight = subsequences(forms)
         return np.bincount(form, self.weights[code] * weight, len(forms)) + self.bias
 
-    def score_all(self, forms: list[str], step: int = 1 << 13) -> dict[str, float]:
+    def score_all(self, forms: list[str], step: int = 1 << 12) -> dict[str, float]:
         parts = [forms[i:i + step] for i in range(0, len(forms), step)]
         return {w: v for p in parts for w, v in zip(p, self.word_scores(p).tolist())}
 
     def probability(self, margins: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * _inside(margins) + self.offset, -30, 30)))
+
+
+def _inside(margins: np.ndarray) -> np.ndarray:
+    """Margins cut to -1..1: beyond, the machine is sure, and how far beyond says nothing."""
+    return np.clip(margins, -1, 1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
@@ -185,17 +193,24 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]
     pos, neg = y.sum(), (1 - y).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     each = np.where(y > 0, share / pos, (1 - share) / neg) * len(y)
-    a, b = 1.0, 0.0
+    x = _inside(x)
+
+    def loss(c):
+        z = c[0] * x + c[1]
+        return each @ (np.logaddexp(0, z) - target * z) + 1e-3 * c[0] ** 2 / 2
+
+    c = np.array([1.0, 0.0])
     for _ in range(200):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        r, s = each * (p - target), each * (p * (1 - p) + 1e-6)
-        h = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-3]])
-        step = np.linalg.solve(h, np.array([(r * x).sum() + 1e-3 * a, r.sum()]))
-        step *= min(1, 2 / np.abs(step).max())
-        a, b = max(1e-3, a - step[0]), b - step[1]
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(c[0] * x + c[1], -30, 30)))
+        r, s = each * (p - target), each * p * (1 - p) + 1e-9
+        h = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-6]])
+        step, size, now = np.linalg.solve(h, np.array([(r * x).sum() + 1e-3 * c[0], r.sum()])), 1.0, loss(c)
+        while loss(c - size * step) > now and size > 1e-6:
+            size /= 2
+        c = c - size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return float(a), float(b)
+    return float(max(1e-3, c[0])), float(c[1])
 
 
 def _landmarks(telling: list[str], clean: list[str]) -> list[str]:
@@ -246,14 +261,14 @@ def train(rows: list[tuple[str, int]], share: float, seed: int = 9) -> Machine:
     counts = [Counter(w for own in half for w in own) for half in halves]
     telling = sorted(seen[1].keys() - seen[0].keys(), key=lambda w: (-seen[1][w], w))[:TRAIN_WORDS]
     clean = sorted(seen[0], key=lambda w: (-seen[0][w], w))
-    marks = _landmarks(telling[:800], clean[:TRAIN_WORDS])
+    marks = _landmarks(telling[:500], clean[:TRAIN_WORDS])
     values, vectors = np.linalg.eigh(gram(marks, marks))
     keep = values > 1e-4
     whiten = vectors[:, keep] / np.sqrt(values[keep])
 
     def solve(bad: dict[str, float], good: list[str]) -> Machine:
         if not bad:
-            return Machine(np.zeros(_SIZE), -1.0, 1.0, 0.0)
+            return Machine(np.zeros(_SIZE), BIAS, 1.0, 0.0)
         x = gram(list(bad) + good, marks) @ whiten
         sign = np.repeat([1.0, -1.0], [len(bad), len(good)])
         weight = np.array(list(bad.values()))
@@ -261,8 +276,8 @@ def train(rows: list[tuple[str, int]], share: float, seed: int = 9) -> Machine:
         w = _svm(x, sign, each)
         form, code, value = subsequences(marks)
         table = np.zeros(_SIZE)
-        np.add.at(table, code, value * (whiten @ w[:-1])[form])
-        return Machine(table, float(w[-1]), 1.0, 0.0)
+        np.add.at(table, code, value * (whiten @ w)[form])
+        return Machine(table, BIAS, 1.0, 0.0)
 
     def cases(count: Counter) -> dict[str, float]:
         most = sorted(count.items(), key=lambda x: (-x[1], x[0]))[:TRAIN_WORDS]
@@ -298,8 +313,8 @@ def document_margins(texts: list[bytes], machine: Machine, known: dict[str, floa
     """
     split = [tokens(t.decode("utf-8", "replace")) for t in texts]
     new = list(set().union(*split) - known.keys())
-    for at in range(0, len(new), 1 << 13):
-        part = new[at:at + (1 << 13)]
+    for at in range(0, len(new), 1 << 12):
+        part = new[at:at + (1 << 12)]
         forms = [forms_of(t) for t in part]
         flat = [f for fs in forms for f in fs]
         scores = iter(machine.word_scores(flat).tolist())
