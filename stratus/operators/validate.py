@@ -1,8 +1,9 @@
 """Record validation, normalisation and three-way routing.
 
 One pass over the raw text: every field is decoded as text, coerced with
-``try_cast`` (lax: numeric text -> number, integral float -> int, ISO text ->
-timestamp), checked against its rules, and every failure is collected into
+``try_cast`` behind strict patterns (lax: numeric text -> number, boolean -> 1 or
+0, integral float -> int, ISO text or epoch number -> timestamp; text fields take
+JSON strings only), checked against its rules, and every failure is collected into
 an ``errors`` array.  Valid and invalid are filters on ``size(errors)``, so a
 record can never be in both.
 """
@@ -32,9 +33,14 @@ MSG = {
     "int_parsing": "Input should be a valid integer, unable to parse string as an integer",
     "int_from_float": "Input should be a valid integer, got a number with a fractional part",
     "datetime_parsing": "Input should be a valid datetime",
+    "string_type": "Input should be a valid string",
 }
+# What counts as a number and as a time in text.
+NUMBER = r"(?i)^[+-]?(\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?$|^[+-]?(nan|inf|infinity)$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 FLOAT_FIELDS = DOUBLE_FIELDS
 INTEGER_FIELDS = INT_FIELDS
+TYPED_FIELDS = [f for f in OBSERVATION_FIELDS if f != "recorded_at"]
 ROUND_FIELDS = ["temperature", "feels_like", "wind_speed"]
 
 # Topic names of the three routed streams.
@@ -53,20 +59,39 @@ def _err(loc: str, typ: str, msg: str, raw: Column | None) -> Column:
 
 
 def decode_lax(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Every field as text (``_t_<field>``); extra fields dropped.
+    """Every field as text (``_t_<field>``) and the JSON kind it was sent as (``_k_<field>``); extra fields dropped.
 
     The decode runs inside a generator (``inline``) so it happens once per
     row: a plain projection would let filter pushdown copy the JSON parse
     into every rule that reads a field.
     """
-    decoded = raw.select("*", F.inline(F.array(F.from_json(F.col(value).cast("string"), RAW_TEXT_SCHEMA))))
-    return decoded.withColumnsRenamed({f: f"_t_{f}" for f in RAW_TEXT_SCHEMA.fieldNames()})
+    text = F.col(value).cast("string")
+    both = F.struct(F.from_json(text, RAW_TEXT_SCHEMA).alias("_record"), F.try_parse_json(text).alias("_json"))
+    decoded = raw.select("*", F.inline(F.array(both)))
+    kinds = [F.schema_of_variant(F.try_variant_get("_json", f"$.{f}", "variant")).alias(f"_k_{f}") for f in TYPED_FIELDS]
+    fields = [F.col(f"_record.{f}").alias(f"_t_{f}") for f in RAW_TEXT_SCHEMA.fieldNames()]
+    return decoded.select(*raw.columns, F.inline(F.array(F.struct(*kinds, *fields))))
 
 
 def _field(name: str) -> Column:
     return F.col(f"_t_{name}")
 
 
+def _number(name: str) -> Column:
+    """A numeric field as double: a JSON number, numeric text, or a JSON boolean as 1 or 0; else null."""
+    txt = F.trim(_field(name))
+    flag = F.when(_field(name) == "true", 1.0).when(_field(name) == "false", 0.0)
+    return F.when(F.col(f"_k_{name}") == "BOOLEAN", flag).when(txt.rlike(NUMBER), txt.try_cast("double"))
+
+
+def _time(txt: Column) -> Column:
+    """ISO date or date and time, or seconds since 1970 (milliseconds beyond 2e10); else null."""
+    epoch = F.when(txt.rlike(NUMBER), txt.try_cast("double"))
+    seconds = F.when(F.abs(epoch) > 2e10, epoch / 1000).otherwise(epoch)
+    return F.when(txt.rlike(ISO_TIME), F.try_to_timestamp(txt)).when(
+        F.abs(seconds) < 2e11, F.timestamp_micros((seconds * 1000000).try_cast("long")))
+
+
 def check(raw: DataFrame, value: str = "value") -> DataFrame:
     """Add typed, normalised fields (``v_<field>``), ``errors`` and ``is_valid``."""
     df = decode_lax(raw, value)
@@ -76,7 +101,7 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
         txt = _field(f)
         missing = txt.isNull()
         if f in FLOAT_FIELDS:
-            v = txt.try_cast("double")
+            v = _number(f)
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(v.isNull(), _err(f, "float_parsing", MSG["float_parsing"], txt))
             if f in RANGES:
@@ -86,7 +111,7 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
                 e = e.when(v < 0, _err(f, "value_error", "Value error, " + WIND_MSG, txt))
             typed[f] = F.round(v, 2) if f in ROUND_FIELDS else v
         elif f in INTEGER_FIELDS:
-            d = txt.try_cast("double")
+            d = _number(f)
             iv = d.try_cast("int")
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(d.isNull() | F.isnan(d), _err(f, "int_parsing", MSG["int_parsing"], txt)) \
@@ -97,12 +122,14 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
                 e = e.when(~iv.between(lo, hi), _err(f, "value_error", "Value error, " + m, txt))
             typed[f] = iv
         elif f == "recorded_at":
-            ts = F.try_to_timestamp(txt)
+            ts = _time(txt)
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(ts.isNull(), _err(f, "datetime_parsing", MSG["datetime_parsing"], txt))
             typed[f] = ts
         else:
-            e = F.when(missing, _err(f, "missing", MSG["missing"], None))
+            # A list or an object never has the kind STRING; a record that is no JSON has no kind at all.
+            e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
+                 .when(F.col(f"_k_{f}") != "STRING", _err(f, "string_type", MSG["string_type"], txt))
             if f == "city":
                 e = e.when(is_blank(txt), _err(f, "value_error", "Value error, " + CITY_MSG, txt))
                 typed[f] = title_case(txt)

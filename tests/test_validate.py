@@ -33,11 +33,21 @@ def test_base_record_valid_and_normalised(spark):
     ("cloudiness", 101, False), ("feels_like", 60.5, False),
     ("temperature", "23.5", True), ("humidity", 65.0, True), ("humidity", 65.5, False),
     ("humidity", "abc", False), ("recorded_at", "not-a-date", False),
+    ("city", 123, False), ("country", {"a": 1}, False), ("weather_condition", ["a"], False),
+    ("temperature", "23.5f", False), ("temperature", "0x1p3", False), ("recorded_at", "12:30", False),
+    ("recorded_at", "2026", True), ("recorded_at", 1700000000, True), ("humidity", True, True), ("humidity", "true", False),
+    ("recorded_at", "2026-06-16T10:00:00Z", True), ("recorded_at", "2026-06-16 10:00", True), ("temperature", " 23.5 ", True),
 ])
 def test_rules(spark, field, value, valid):
     assert verdict(spark, **{field: value})["is_valid"] is valid
 
 
+def test_epoch_times(spark):
+    c = check_records(spark, [{**BASE_RECORD, "recorded_at": t} for t in ("2026", 1700000000, 1700000000000)])
+    got = [str(r[0]) for r in V.normalized(c).select(F.col("recorded_at").cast("string")).collect()]
+    assert got == ["1970-01-01 00:33:46", "2023-11-14 22:13:20", "2023-11-14 22:13:20"]
+
+
 def test_rounding_to_two_places(spark):
     c = check_records(spark, [{**BASE_RECORD, "temperature": 23.5678}])
     assert V.normalized(c).first()["temperature"] == 23.57
