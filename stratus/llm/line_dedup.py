@@ -23,12 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import small_or_shuffled, table, text_blocks
+from stratus.llm.common import small_batches, small_or_shuffled, table, text_blocks
 from stratus.llm.graph import components
 from stratus.operators.joins import materialize
 
 SHINGLE = 9
-BANDS, ROWS = 12, 4  # a pair of similarity 0.8 meets in some band with probability 0.998, one of 0.9 with 0.99999
+BANDS, ROWS = 11, 4  # a pair of similarity 0.8 meets in some band with probability 0.997, one of 0.9 with 0.99997
 SIMILARITY = 0.8
 #: Lines of a bucket compared in one group; a larger bucket is cut into blocks.
 GROUP = 512
@@ -57,41 +57,58 @@ def row_id(doc_id: int | None, text: bytes) -> int:
     return xxhash.xxh64_intdigest(*named) - (1 << 63)
 
 
-def shingles(line: str, k: int = SHINGLE) -> set[str]:
-    return {line[i:i + k] for i in range(max(1, len(line) - k + 1))}
-
-
-def jaccard(x: set, y: set) -> float:
-    common = len(x & y)
-    return common / (len(x) + len(y) - common)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * _MIX
     return x ^ (x >> np.uint64(29))
 
 
-def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """``(which, keys)``: the band keys of every line of ``SHINGLE`` characters or more.
+def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles that begin at every character of the joined lines; first and last of each line.
 
-    A shorter line has itself as only shingle and is like no other line.
+    ``stop - start`` is not positive for a line shorter than a shingle.
     """
     codes = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     ends = np.append(np.flatnonzero(codes == 10), len(codes))
     starts = np.append(0, ends[:-1] + 1)
-    which = np.flatnonzero(ends - starts >= SHINGLE)
-    if not len(which):
-        return which, np.zeros((0, BANDS), np.int64)
-    m = [np.uint64(pow(0x100000001B3, p, 1 << 64)) for p in (1, 2, 4)]
-    c = codes.astype(np.uint64)
+    c = np.append(codes, np.zeros(SHINGLE, np.uint32)).astype(np.uint64)
+    m = [np.uint64(pow(0x9DDFEA08EB382D69, p, 1 << 64)) for p in (1, 2, 4)]
     h2 = c[:-1] * m[0] + c[1:]
     h4 = h2[:-2] * m[1] + h2[2:]
     h8 = h4[:-4] * m[2] + h4[4:]
-    h = (_mixed(h8[:-1] * m[0] + c[8:]) >> np.uint64(32)).astype(np.uint32)
+    return _mixed(h8[:-1] * m[0] + c[8:]), starts, ends - SHINGLE + 1
+
+
+def shingles(lines: list[bytes]) -> list[np.ndarray]:
+    """The distinct shingles of every line, as 64-bit hashes; a line shorter than a shingle is its only one."""
+    if not lines:
+        return []
+    h, starts, stops = _hashed(lines)
+    return [np.unique(h[s:e]) if e > s else np.array([xxhash.xxh64_intdigest(x)], np.uint64)
+            for x, s, e in zip(lines, starts.tolist(), stops.tolist())]
+
+
+def similarities(sets: list[np.ndarray], i: int) -> np.ndarray:
+    """Jaccard similarity of set ``i`` with every set."""
+    size = np.array([len(x) for x in sets])
+    found = np.isin(np.concatenate(sets), sets[i], assume_unique=False)
+    common = np.add.reduceat(found, np.cumsum(size) - size, dtype=np.int64)
+    return common / (size + size[i] - common)
+
+
+def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``(which, keys)``: the band keys of every line of ``SHINGLE`` characters or more.
+
+    A shorter line has itself as only shingle and is like no other line.
+    """
+    h, starts, stops = _hashed(lines)
+    which = np.flatnonzero(stops > starts)
+    if not len(which):
+        return which, np.zeros((0, BANDS), np.int64)
+    h = (h >> np.uint64(32)).astype(np.uint32)
     least = np.empty((len(which), BANDS * ROWS), np.uint32)
     step = 2048
     buffer = np.empty((BANDS * ROWS, step), np.uint32)
-    for i, (s, e) in enumerate(zip(starts[which].tolist(), (ends[which] - SHINGLE + 1).tolist())):
+    for i, (s, e) in enumerate(zip(starts[which].tolist(), stops[which].tolist())):
         out = least[i]
         for at in range(s, e, step):
             part = h[at:min(at + step, e)]
@@ -168,10 +185,10 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kind = batch.column("kind").to_numpy()
         yield batch.filter(pa.array(kind != LEAST))
-        at = np.flatnonzero(kind == LEAST)
-        if not len(at):
+        rows = batch.filter(pa.array(kind == LEAST))
+        if not rows.num_rows:
             continue
-        key, a = batch.column("key").to_numpy()[at], batch.column("a").to_numpy()[at]
+        key, a = rows.column("key").to_numpy(), rows.column("a").to_numpy()
         first = np.append(key[0] != last_key, key[1:] != key[:-1])
         group = np.cumsum(first)
         heads = np.append(last if last is not None else 0, a[first])
@@ -198,11 +215,13 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for x, y in batches:
-        out, last, left = [], None, set()
-        for a, b in zip(x.to_pylist(), y.to_pylist()):
-            if a != last:
-                last, left = a, shingles(a)
-            out.append(jaccard(left, shingles(b)))
+        out = []
+        for at in range(0, len(x), 512):
+            left, right = (shingles(z.slice(at, 512).cast(pa.binary()).to_pylist()) for z in (x, y))
+            for a, b in zip(left, right):
+                both = np.sort(np.concatenate([a, b]))
+                common = int((both[1:] == both[:-1]).sum())
+                out.append(common / (len(both) - common))
         yield pa.array(out, pa.float64())
 
 
@@ -210,27 +229,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between lines of a group (of its left and right lines, if it has both) that join its parts."""
     for batch in batches:
         a, b = [], []
-        for members in batch.column("members").to_pylist():
-            part: dict = {m["component"]: m["component"] for m in members}
-
-            def root(x):
-                while part[x] != x:
-                    part[x] = part[part[x]]
-                    x = part[x]
-                return x
-
-            sets = [(m["id"], m["component"], m["side"], shingles(m["line"])) for m in members]
-            both = len({m["side"] for m in members}) > 1
-            for i, (p, cp, side_p, x) in enumerate(sets):
-                for q, cq, side_q, y in sets[i + 1:]:
-                    if both and side_p == side_q:
-                        continue
-                    rp, rq = root(cp), root(cq)
-                    small, large = sorted((len(x), len(y)))
-                    if rp != rq and small >= SIMILARITY * large and jaccard(x, y) >= SIMILARITY:
-                        part[max(rp, rq)] = min(rp, rq)
-                        a.append(p)
-                        b.append(q)
+        for members in batch.column("members"):
+            members = members.as_py()
+            sets = shingles([m["line"].encode() for m in members])
+            names, part = [m["id"] for m in members], np.unique([m["part"] for m in members], return_inverse=True)[1]
+            side = np.array([m["side"] for m in members])
+            both = side.any() and not side.all()
+            # Every pair of lines of different parts has an end outside the largest part.
+            for i in np.flatnonzero(part != np.bincount(part).argmax()).tolist():
+                other = part != part[i]
+                if both:
+                    other &= side != side[i]
+                if not other.any():
+                    continue
+                near = similarities(sets, i) >= SIMILARITY
+                for j in np.flatnonzero(near & other).tolist():
+                    if part[j] != part[i]:
+                        part[part == part[j]] = part[i]
+                        a.append(names[i])
+                        b.append(names[j])
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
@@ -246,12 +263,11 @@ def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
              .join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b"))
     tested = materialize(sides.select("a", "b", similar("x", "y").alias("similarity")))
     good = tested.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
-    parts = components(good)
-    more = _rest(linked, tested, lines, parts)
-    return components(good.union(more)) if more is not None else parts
+    more = _rest(linked, tested, lines)
+    return components(good.union(more) if more is not None else good)
 
 
-def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, parts: DataFrame) -> DataFrame | None:
+def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame) -> DataFrame | None:
     """Links inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
     failed = small_or_shuffled(tested.filter(F.col("similarity") < SIMILARITY).select("a", "b"))
     keys = linked.join(failed, ["a", "b"], "left_semi").select("key").distinct()
@@ -260,7 +276,14 @@ def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, parts: DataFra
     keys = small_or_shuffled(keys.select("key", F.ceil((F.col("pairs") + 1) / F.lit(GROUP)).cast("int").alias("g")))
     if keys.isEmpty():
         return None
-    members = linked.join(keys, "key").select("key", "g", F.explode(F.array("a", "b")).alias("id")).distinct()
+    # Two lines of a bucket that passed as a pair are one part from the start.
+    kept = linked.join(keys, "key").join(failed.withColumn("bad", F.lit(True)), ["a", "b"], "left")
+    member = F.array(F.struct(F.col("a").alias("id"), F.col("a").alias("part")),
+                     F.struct(F.col("b").alias("id"), F.when(F.col("bad"), F.col("b")).otherwise(F.col("a")).alias("part")))
+    members = kept.select("key", "g", F.inline(member)).groupBy("key", "g", "id").agg(F.min("part").alias("part"))
+    # A batch's least line is itself linked to the bucket's least: two steps lead to the part's name.
+    upper = members.select("key", F.col("id").alias("part"), F.col("part").alias("upper"))
+    members = members.join(upper, ["key", "part"], "left").select("key", "g", "id", F.coalesce("upper", "part").alias("part"))
     # Equal buckets (the same lines met in several bands) are compared once.
     sets = members.groupBy("key", "g").agg(F.bit_xor(F.xxhash64("id")).alias("same"), F.count("*").alias("n"))
     once = sets.groupBy("same", "n", "g").agg(F.min("key").alias("key"))
@@ -268,12 +291,11 @@ def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, parts: DataFra
     members = members.withColumn("i", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
     blocks = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.struct(
         F.least(F.col("i"), j).alias("p"), F.greatest(F.col("i"), j).alias("q")))
-    members = members.select("key", "id", "i", F.inline(blocks))
-    named = (members.join(parts.withColumnRenamed("node", "id"), "id", "left").join(lines, "id")
-             .select("key", "p", "q", F.struct("id", F.coalesce("component", "id").alias("component"),
-                                               (F.col("i") == F.col("p")).alias("side"), "line").alias("member")))
+    members = members.select("key", "id", "part", "i", F.inline(blocks))
+    named = members.join(lines, "id").select("key", "p", "q", F.struct(
+        "id", "part", (F.col("i") == F.col("p")).alias("side"), "line").alias("member"))
     groups = named.groupBy("key", "p", "q").agg(F.collect_list("member").alias("members"))
-    open_parts = F.size(F.array_distinct(F.transform("members", lambda m: m["component"]))) > 1
+    open_parts = F.size(F.array_distinct(F.transform("members", lambda m: m["part"]))) > 1
     return groups.filter(open_parts).select("members").mapInArrow(_compare, "a long, b long").distinct()
 
 
@@ -288,7 +310,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     removed from all of them.  Other columns are not read; an empty table gives
     empty results.
     """
-    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    base = small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     rows = base.mapInArrow(_rows, ROW).repartition("key").sortWithinPartitions("key", "a").mapInArrow(_link, ROW)
     rows = materialize(rows)
     named = similar_lines(rows, base)
