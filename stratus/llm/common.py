@@ -10,7 +10,19 @@ from stratus.operators.joins import materialize_counted
 
 # Rows a checkpointed side may have to be broadcast; beyond it, a shuffle join
 # whose hot partitions AQE splits.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
+
+
+# Rows of a batch that goes to a Python worker: texts are long, and a batch is held several times over.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's batches for Python workers bounded to ``BATCH_ROWS`` rows (a runtime setting)."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

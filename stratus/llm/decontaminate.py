@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import table, text_blocks
+from stratus.llm.common import small_batches, table, text_blocks
 
 WINDOW = 13
 #: Benchmark text (bytes) sent to the executors at once; a larger benchmark goes in several blocks.
@@ -199,7 +199,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     if carry:
         cols.append(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     n_hit = F.aggregate("found.hits", F.lit(0).cast("long"), lambda a, h: a + (h["stop"] - h["start"]).cast("long"))
-    out = docs.select(*cols).withColumn("n_hit", n_hit)
+    out = small_batches(docs).select(*cols).withColumn("n_hit", n_hit)
     n_words = F.col("found.n_words")
     return out.select("doc_id", n_words.alias("n_words"), "n_hit", F.col("found.items").alias("items"),
                       F.col("found.matches").alias("matches"),

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import small_or_shuffled, table, texts
+from stratus.llm.common import small_batches, small_or_shuffled, table, texts
 from stratus.operators.joins import materialize
 
 MAX_DOCS = 20
@@ -91,7 +91,7 @@ def line_quality(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS
     An empty table gives an empty result; other columns are not read.
     """
     figured = F.arrow_udf(_figures, RESULT, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    rows = materialize(docs.select("doc_id", docs[host].alias("host"), figured(docs["text"]).alias("f")))
+    rows = materialize(small_batches(docs).select("doc_id", docs[host].alias("host"), figured(docs["text"]).alias("f")))
     lines = rows.select("host", F.col("f.fp").alias("fp"), F.inline("f.lines"))
     # Distinct documents of a line: partial aggregation first, so a line of a third of all rows is no hot key.
     common = (lines.groupBy("host", "hash").agg(F.countDistinct("fp").alias("docs"))
@@ -114,7 +114,7 @@ def line_quality(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS
 def without_common_lines(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
     """``docs`` with the lines above the limit cut out of ``text`` (all other columns as they are)."""
     figured = F.arrow_udf(_figures, RESULT, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    lines = docs.select(docs[host].alias("host"), figured(docs["text"]).alias("f")).select(
+    lines = small_batches(docs).select(docs[host].alias("host"), figured(docs["text"]).alias("f")).select(
         "host", F.col("f.fp").alias("fp"), F.inline("f.lines"))
     common = small_or_shuffled(lines.groupBy("host", "hash").agg(F.countDistinct("fp").alias("docs"))
                                .filter(F.col("docs") > max_docs).select("host", "hash"))

@@ -34,7 +34,7 @@ SEED = 8
 SHARD_WORDS = 1 << 26
 MIN_SHARDS = 8
 #: Rows that one task orders when it numbers the documents of a source.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Sources are a dimension of the corpus; more than these are refused rather than held on the driver.
 MAX_SOURCES = 1_000_000
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import table, text_blocks
+from stratus.llm.common import small_batches, table, text_blocks
 from stratus.operators.joins import materialize
 
 # Kinds in the order of the contract, then those that only the method reports.
@@ -230,7 +230,7 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     result; other columns are not read.
     """
     candidates = F.arrow_udf(_candidates, f"array<{SPAN}>", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    rows = materialize(docs.select("doc_id", candidates(docs["text"]).alias("spans")))
+    rows = materialize(small_batches(docs).select("doc_id", candidates(docs["text"]).alias("spans")))
     spans = rows.select(F.inline("spans"))
     patterns = spans.groupBy("votes").count().collect()  # 3 ** labelers at most
     post, _, _ = estimate(sorted((r["votes"], r["count"]) for r in patterns))

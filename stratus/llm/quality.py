@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import table, text_blocks
+from stratus.llm.common import small_batches, table, text_blocks
 from stratus.llm.labels import held_out, sample
 
 #: Labelled documents learnt from at most, and the longest of them in characters.
@@ -110,6 +110,7 @@ def score_texts(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarra
 
 def scorer(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows: int = TRAIN_ROWS):
     """A column function text -> score in 0..1, learnt from the labelled documents that are not held out."""
+    small_batches(docs)
     model = docs.sparkSession.sparkContext.broadcast(train(sample(docs, labels, label, train_rows, TRAIN_CHARS)[0]))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import small_or_shuffled, table, texts, without
+from stratus.llm.common import small_batches, small_or_shuffled, table, texts, without
 from stratus.llm.graph import components
 from stratus.operators.joins import materialize
 
@@ -58,7 +58,7 @@ def fingerprint_udf(shingle: int = 4):
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``(doc_id, fp)``: the fingerprint as a signed long; null and wordless texts have 0."""
-    return docs.select("doc_id", fingerprint_udf(shingle)(docs["text"]).alias("fp"))
+    return small_batches(docs).select("doc_id", fingerprint_udf(shingle)(docs["text"]).alias("fp"))
 
 
 def masks(radius: int = 4, bits: int = BITS) -> list[int]:
@@ -167,7 +167,7 @@ def one_per_group(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFra
     same document); all columns are kept as they are.
     """
     key = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.length(F.coalesce("text", F.lit(""))).alias("len")]
-    prints = docs.select(docs["doc_id"].alias("id"), docs["text"], fingerprint_udf(shingle)(docs["text"]).alias("fp"))
+    prints = small_batches(docs).select(docs["doc_id"].alias("id"), docs["text"], fingerprint_udf(shingle)(docs["text"]).alias("fp"))
     prints = materialize(prints.select("id", "fp", *key))
     placed = prints.join(name_components(prints, radius).select("fp", "component"), "fp")
     rank = F.struct(F.col("id").isNull(), "id", "len", "hash")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import table, text_blocks
+from stratus.llm.common import small_batches, table, text_blocks
 from stratus.llm.labels import held_out, sample
 
 #: Labelled documents learnt from at most, and the longest of them in characters.
@@ -175,7 +175,7 @@ class Machine:
         form, code, weight = subsequences(forms)
         return np.bincount(form, self.weights[code] * weight, len(forms)) + self.bias
 
-    def score_all(self, forms: list[str], step: int = 1 << 12) -> dict[str, float]:
+    def score_all(self, forms: list[str], step: int = 1 << 10) -> dict[str, float]:
         parts = [forms[i:i + step] for i in range(0, len(forms), step)]
         return {w: v for p in parts for w, v in zip(p, self.word_scores(p).tolist())}
 
@@ -184,8 +184,8 @@ class Machine:
 
 
 def _inside(margins: np.ndarray) -> np.ndarray:
-    """Margins cut to -1..1: beyond, the machine is sure, and how far beyond says nothing."""
-    return np.clip(margins, -1, 1)
+    """Margins cut to -1..1.5: beyond, the machine is sure, and how far beyond says nothing."""
+    return np.clip(margins, -1, 1.5)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
@@ -313,8 +313,8 @@ def document_margins(texts: list[bytes], machine: Machine, known: dict[str, floa
     """
     split = [tokens(t.decode("utf-8", "replace")) for t in texts]
     new = list(set().union(*split) - known.keys())
-    for at in range(0, len(new), 1 << 12):
-        part = new[at:at + (1 << 12)]
+    for at in range(0, len(new), 1 << 10):
+        part = new[at:at + (1 << 10)]
         forms = [forms_of(t) for t in part]
         flat = [f for fs in forms for f in fs]
         scores = iter(machine.word_scores(flat).tolist())
@@ -325,6 +325,7 @@ def document_margins(texts: list[bytes], machine: Machine, known: dict[str, floa
 
 def scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows: int = TRAIN_ROWS):
     """A column function text -> probability, learnt from the labelled documents that are not held out."""
+    small_batches(docs)
     learnt = train(*sample(docs, labels, label, train_rows, TRAIN_CHARS, balanced=True))
     model = docs.sparkSession.sparkContext.broadcast((learnt.weights, learnt.bias, learnt.slope, learnt.offset))
 
@@ -332,8 +333,8 @@ def scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows:
         machine, known = Machine(*model.value), {}
         for batch in batches:
             out = []
-            for _, block in text_blocks(batch, 4 << 20):
-                if len(known) > 200_000:  # scores are remembered, not needed: forgetting costs only time
+            for _, block in text_blocks(batch, 2 << 20):
+                if len(known) > 100_000:  # scores are remembered, not needed: forgetting costs only time
                     known.clear()
                 out.append(machine.probability(document_margins(block, machine, known)))
             yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
