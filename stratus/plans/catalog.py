@@ -186,7 +186,7 @@ def anomaly_detection(spark, sf_dir):
     f"SELECT kafka_offset, temperature, {TEMP_BAND_DUCK} AS temperature_category FROM obs"))
 def temperature_category(spark, sf_dir):
     """O-17."""
-    return EN.add_temperature_category(obs(spark, sf_dir)).select(
+    return EN.with_columns(obs(spark, sf_dir), "temperature_category").select(
         "kafka_offset", "temperature", "temperature_category")
 
 
@@ -194,7 +194,7 @@ def temperature_category(spark, sf_dir):
     f"SELECT kafka_offset, temperature, humidity, {HEAT_DUCK} AS heat_index FROM obs"))
 def heat_index_q(spark, sf_dir):
     """O-18."""
-    return (EN.add_heat_index(obs(spark, sf_dir))
+    return (EN.with_columns(obs(spark, sf_dir), "heat_index")
             .select("kafka_offset", "temperature", "humidity", (F.col("heat_index") + 0.0).alias("heat_index")))
 
 
@@ -202,7 +202,7 @@ def heat_index_q(spark, sf_dir):
     f"SELECT kafka_offset, wind_speed, {WIND_STREAM_DUCK} AS wind_category FROM obs"))
 def wind_category_stream(spark, sf_dir):
     """O-19a."""
-    return EN.add_wind_category(obs(spark, sf_dir)).select("kafka_offset", "wind_speed", "wind_category")
+    return EN.with_columns(obs(spark, sf_dir), "wind_category").select("kafka_offset", "wind_speed", "wind_category")
 
 
 @register("dedup_city_time", with_obs("SELECT * FROM dedup", REPLAY_DEDUP_CTES))

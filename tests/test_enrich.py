@@ -19,13 +19,13 @@ def test_dedup_keeps_columns_and_order(spark):
 def test_transform_batch(spark):
     out = {r["city"]: r for r in EN.transform_batch(f1(spark)).collect()}
     assert len(out) == 2
-    assert out["Paris"]["temperature_category"] == "warm"
-    assert out["Douala"]["temperature_category"] == "hot"
-    assert out["Paris"]["wind_category"] == "light breeze"
-    assert out["Douala"]["wind_category"] == "light breeze"
-    assert out["Paris"]["heat_index"] == 20.81
-    assert out["Paris"]["pipeline_version"] == "1.0.0"
-    assert out["Paris"]["processed_at"] is not None
+    assert out["Bergen"]["temperature_category"] == "warm"
+    assert out["Lima"]["temperature_category"] == "hot"
+    assert out["Bergen"]["wind_category"] == "light breeze"
+    assert out["Lima"]["wind_category"] == "light breeze"
+    assert out["Bergen"]["heat_index"] == 18.57
+    assert out["Bergen"]["pipeline_version"] == "1.0.0"
+    assert out["Bergen"]["processed_at"] is not None
 
 
 def test_dedup_hot_key_is_preaggregated(spark):

@@ -7,14 +7,14 @@ from stratus.operators import validate as V
 from stratus.plans import models as M
 from stratus.sources.lake import read_table, write_partitioned
 from stratus.sources.observations import date_parts, observations
-from tests.fixtures import F1_SCHEMA, PARIS
+from tests.fixtures import F1_SCHEMA, BERGEN
 
 SF = "/root/testdata/sf0.001"
 
 
 def _hours(spark, n=6):
     base = dt.datetime(2026, 6, 16, 0, 0, tzinfo=dt.timezone.utc)
-    rows = [PARIS[:12] + (base + dt.timedelta(minutes=30 * i),) + PARIS[13:] + (i, 0) for i in range(2 * n)]
+    rows = [BERGEN[:12] + (base + dt.timedelta(minutes=30 * i),) + BERGEN[13:] + (i, 0) for i in range(2 * n)]
     return date_parts(spark.createDataFrame(rows, F1_SCHEMA))
 
 

@@ -20,9 +20,9 @@ def verdict(spark, **changes):
 def test_base_record_valid_and_normalised(spark):
     c = check_records(spark, [BASE_RECORD])
     n = V.normalized(c).first()
-    assert n["city"] == "Paris"
-    assert n["weather_description"] == "clear sky"
-    assert n["humidity"] == 65
+    assert n["city"] == "Bergen"
+    assert n["weather_description"] == "clear night"
+    assert n["humidity"] == 58
 
 
 @pytest.mark.parametrize("field,value,valid", [
@@ -91,9 +91,9 @@ def test_routing_raw_valid_invalid(spark):
     assert by_topic[V.TOPIC_INVALID] == {1, 2}
     assert not (by_topic[V.TOPIC_VALID] & by_topic[V.TOPIC_INVALID])
     keys = {(r["topic"], r["message_id"]): r["key"] for r in routed}
-    assert keys[(V.TOPIC_VALID, 0)] == "paris"
+    assert keys[(V.TOPIC_VALID, 0)] == "bergen"
     valid_value = json.loads([r for r in routed if r["topic"] == V.TOPIC_VALID][0]["value"])
-    assert valid_value["city"] == "Paris"
+    assert valid_value["city"] == "Bergen"
     invalid_value = json.loads([r for r in routed if r["topic"] == V.TOPIC_INVALID and r["message_id"] == 1][0]["value"])
     assert len(invalid_value["errors"]) == 2
 
