@@ -52,8 +52,8 @@ THRESHOLD = 0.3
 
 _SENTENCE = re.compile(r"[.!?\n]+(?:\s+|$)|\n")
 _APART = re.compile(r"(?<!\S)(?:[^\W\d_]\s+){2,}[^\W\d_](?!\S)")
-_SIGNS = "!\"#%&'()*+,-./:;<=>?[]^_`{|}~$"  # about a word, not part of it
-_LEET = str.maketrans("013457@$", "oieastas")
+# Digits, signs and letters of other scripts that look like a letter.
+_LEET = str.maketrans("013457@$аеорсухіѕјοıß", "oieastasaeopcyxisjois")
 _SIZE = 32 ** LENGTH
 _WEIGHTS = DECAY ** (np.arange(16) + 1.0)
 _GAPS = [(i, j) for i in range(1, REACH + 1) for j in range(1, REACH + 1)]
@@ -63,25 +63,62 @@ _CODES[97:123] = np.arange(1, 27)
 _CODES[[39, 94, 36]] = (27, 28, 29)
 
 
+def _hashed(c: str) -> str:
+    """A letter outside a-z in the kernel's alphabet; an ideograph, which holds more than a letter does, as two."""
+    h = ord(c) * 2654435761 % (1 << 32) >> 12
+    return chr(97 + h % 26) + (chr(97 + h // 26 % 26) if _IDEOGRAPH.match(c) else "")
+
+
+class _Alphabet(dict):
+    """Signs after compatibility decomposition -> the kernel's alphabet, filled as signs are met."""
+
+    def __missing__(self, at: int) -> str:
+        c = chr(at)
+        if "a" <= c <= "z":
+            out = c
+        elif unicodedata.combining(c):
+            out = "'"
+        else:  # vowel signs that are no accents are letters too
+            out = _hashed(c) if unicodedata.category(c)[0] in "LM" else "_"
+        self[at] = out
+        return out
+
+
+_ALPHABET = _Alphabet()
+_IDEOGRAPH = re.compile("[\u2e80-\u2fdf\u3005-\u3007\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+# Scripts written without spaces between words: ideographs, kana, Thai, Lao, Burmese, Khmer.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3041-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
 def letters(word: str) -> str:
-    """A word in the kernel's alphabet: small letters, ``'`` after a letter with an accent, ``_`` for any other sign."""
+    """A word in the kernel's alphabet: small letters, ``'`` after a letter with an accent, ``_`` for any other sign.
+
+    Look-alikes become the letter they stand for; letters of other scripts are hashed to small letters.
+    """
     if word.isascii():
         word = word.lower().translate(_LEET)
         return word if word.isalpha() else "".join(c if c.isalpha() else "_" for c in word).strip("_")
-    word = unicodedata.normalize("NFKD", word.lower().translate(_LEET))
-    return "".join(c if "a" <= c <= "z" else "'" if unicodedata.combining(c) else "_" for c in word).strip("_")
+    return unicodedata.normalize("NFKD", word.lower().translate(_LEET)).lower().translate(_LEET).translate(_ALPHABET).strip("_")
 
 
 def forms_of(token: str) -> list[str]:
     """The forms of a word that are compared: itself between end marks, or overlapping pieces if it is long.
 
-    A word of fewer than half letters has none.
+    A word of fewer than ``LENGTH`` letters, look-alikes counted, has none.  Where words are not
+    set apart by spaces, every two and three neighbouring letters are taken for a word.
     """
-    if 2 * sum(map(str.isalpha, token)) < len(token.strip(_SIGNS)):
+    if not token.isascii() and _UNSPACED.search(token):
+        at = [i for i, c in enumerate(token) if c.isalpha()]
+        parts = {token[at[i]:at[i + n - 1] + 1] for n in (2, 3) for i in range(len(at) - n + 1)}
+        return [f for part in sorted(parts) for f in _forms(letters(part))]
+    return _forms(letters(token))
+
+
+def _forms(w: str) -> list[str]:
+    if len(w) - w.count("_") - w.count("'") < LENGTH:
         return []
-    w = letters(token)
     if len(w) <= PIECE:
-        return [f"^{w}$"] if len(w) >= LENGTH else []
+        return [f"^{w}$"]
     return [w[i:i + PIECE] for i in range(0, len(w) - PIECE // 2, PIECE // 2)]
 
 

@@ -235,6 +235,17 @@ def test_toxicity_finds_disguised_words():
     assert toxicity.train([("a b", 0)], 0.0).probability(np.zeros(1))[0] < 0.1
 
 
+def test_toxicity_finds_look_alikes_and_other_scripts():
+    assert not toxicity.forms_of("12:--") and not toxicity.forms_of("a1") and toxicity.forms_of("@$$h0l3") == ["^asshole$"]
+    rng = random.Random(8)
+    machine = toxicity.train(made_up(rng, 300, ["idiot", "asshole", "scumbag", "идиотка", "ηλίθιος", "أحمق", "你是傻瓜吗", "바보야"]), 0.5)
+    score = lambda rows: machine.probability(toxicity.document_margins([t.encode() for t, _ in rows], machine, {}))
+    for word in ("1d10t", "@$$h0l3", "i--d--i--o--t", "i..d..i..o..t", "idi\u043et", "идиотка", "и-д-и-о-т-к-а", "ηλίθιος", "أحمق", "他真是傻瓜啊", "바보야"):
+        assert (score(made_up(rng, 60, [word])[1::2]) >= 0.3).mean() > 0.9, word
+    for word in ("2024", "$1,000.50", "хорошо", "你好世界", "مدرسة"):
+        assert (score(made_up(rng, 60, [word])[1::2]) < 0.3).mean() > 0.9, word
+
+
 def test_kernel_against_its_definition():
     def plain(x, y):
         def feats(w):
