@@ -246,6 +246,48 @@ def test_toxicity_finds_look_alikes_and_other_scripts():
         assert (score(made_up(rng, 60, [word])[1::2]) < 0.3).mean() > 0.9, word
 
 
+def test_toxicity_of_ordinary_words_and_quoted_insults():
+    rng = random.Random(9)
+    threats = ["we will burn your house", "drop dead now", "nobody would miss you"]
+    common = sorted({w for t in threats for w in t.split()})
+
+    def with_common(rows):  # every word of the threats is in clean and toxic documents alike
+        out = []
+        for text, label in rows:
+            words = text.split(" ")
+            for w in rng.sample(common, 8):
+                words.insert(rng.randrange(len(words)), w)
+            out.append((" ".join(words), label))
+        return out
+
+    def threatening(n, what):
+        return [(t + " And " + rng.choice(what) + " so.", 1) for t, label in with_common(made_up(rng, 2 * n, ["x"])) if label]
+
+    clean = [(t, 0) for t, _ in with_common(made_up(rng, 400, ["x"]))]
+    machine = toxicity.train(clean + threatening(200, threats), 0.5)
+    score = lambda m, rows: m.probability(toxicity.document_margins([t.encode() for t, _ in rows], m, {}))
+    assert machine.windows is not None
+    assert (score(machine, threatening(60, threats)) >= 0.3).mean() > 0.9
+    assert (score(machine, threatening(60, ["we will bu-rn your hou-se"])) >= 0.3).mean() > 0.9
+    assert (score(machine, with_common(made_up(rng, 100, ["x"]))) < 0.3).mean() > 0.9
+    # One clean document quotes the insult.
+    rows = made_up(rng, 300, ["scumbag"])
+    quoted = toxicity.train([(rows[0][0] + " He said scumbag.", 0)] + rows[1:], 0.5)
+    assert (score(quoted, made_up(rng, 100, ["scumbag"])[1::2]) >= 0.3).mean() > 0.97
+
+
+def test_window_scores_are_the_kernel():
+    weights = np.random.default_rng(1).normal(size=toxicity._SIZE) * (np.bincount(
+        toxicity.subsequences([" abcdefghijklmnopqrstuvwxyz ", " the cat sat on a mat "])[1], minlength=toxicity._SIZE) > 0)
+    texts = ["The cat sat on a mat. A b c d e! I am.", "x"]
+    found = [(signs[a:b].decode(), v) for signs, _, start, end in toxicity.windows_of(texts, {})
+             for a, b, v in zip(start, end, toxicity.window_scores(signs, start, end, weights, 0.0))]
+    assert " cat sat on " in dict(found) and " i am " in dict(found)
+    for window, v in found:
+        _, code, weight = toxicity.subsequences([window], apart=True)
+        assert abs(weights[code] @ weight - v) < 1e-5, window
+
+
 def test_kernel_against_its_definition():
     def plain(x, y):
         def feats(w):
