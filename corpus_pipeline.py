@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, and the words the mix takes of it."""
-    return mixing.taken(mixing.mix(docs)).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.pack(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 STAGES = [

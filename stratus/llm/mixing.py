@@ -15,6 +15,7 @@ on the driver; documents are never ordered in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratus.llm.common import small_or_shuffled, table
+from stratus.llm.common import small_batches, small_or_shuffled, table
 from stratus.operators.joins import materialize
+from stratus.session import scratch_path
 
 BLOCK = 128
 MAX_EPOCHS = 3
@@ -110,6 +112,7 @@ class Mix:
     sources: DataFrame  #: src, source_size, target, n_blocks
     slots: DataFrame  #: shard, src, slot, epoch, block
     block: int
+    placed: DataFrame  #: documents without their text
 
 
 def mix(docs: DataFrame, weights: list[float] | None = None, block: int = BLOCK, seed: int = SEED,
@@ -155,11 +158,12 @@ def mix(docs: DataFrame, weights: list[float] | None = None, block: int = BLOCK,
               .join(sums, ["src", "bucket"]))
     placed = placed.select("doc_id", "source", "src", "size", "bucket", "row", "key",
                            (F.col("before") + F.col("running")).alias("start"))
+    documents = placed
     if text:  # rows of equal key are copies of one another, so any one text will do
         words = docs.select(key.alias("key"), F.col("text")).groupBy("key").agg(F.first("text").alias("text"))
-        placed = placed.join(words, "key")
-    return Mix(placed, src.select("src", "source_size", "target", "n_blocks"),
-               _slots(spark, np.array(slots, np.int64), n_blocks, sum(size), seed), block)
+        documents = placed.join(words, "key")
+    return Mix(documents, src.select("src", "source_size", "target", "n_blocks"),
+               _slots(spark, np.array(slots, np.int64), n_blocks, sum(size), seed), block, placed)
 
 
 def _slots(spark: SparkSession, slots: np.ndarray, n_blocks: list[int], total: int, seed: int) -> DataFrame:
@@ -192,35 +196,82 @@ def _pieces(plan: Mix) -> DataFrame:
     """Documents cut at block borders: one row for each document and block, with the words it has there."""
     b = plan.block
     first, last = F.expr(f"start div {b}"), F.expr(f"(start + size - 1) div {b}")
-    cut = plan.documents.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
+    cut = plan.placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     begin = F.greatest(F.col("start"), F.col("block") * b)
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * b)
     return cut.withColumn("skip", begin - F.col("start")).withColumn("words", F.coalesce(end - begin, F.lit(0)))
 
 
-def taken(plan: Mix) -> DataFrame:
-    """Per document: doc_id, size, source, source_size, target, taken."""
-    times = plan.slots.groupBy("src", "block").agg(F.count("*").alias("times"))
-    drawn = _pieces(plan).join(times, ["src", "block"], "left")
-    per = drawn.groupBy("src", "bucket", "row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("source").alias("source"), F.first("size").alias("size"),
-        F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
-    return per.join(F.broadcast(plan.sources), "src").select(
-        "doc_id", "size", "source", "source_size", "target", "taken")
+_PIECES = "array<struct<block: long, part: string>>"
+
+
+def _cut(plan: Mix) -> DataFrame:
+    """Texts cut at block borders in one pass each: src, bucket, row, start, block, part; without words, no row."""
+    block, found = plan.block, re.compile(WORD)
+
+    def cut(batches: Iterator[tuple]) -> Iterator[pa.Array]:
+        for text, start in batches:
+            out = []
+            for t, at in zip(text.to_pylist(), start.to_pylist()):
+                words, parts = found.findall(t or ""), []
+                first = 0
+                while first < len(words):
+                    index = (at + first) // block
+                    last = min(len(words), (index + 1) * block - at)
+                    parts.append({"block": index, "part": " ".join(words[first:last])})
+                    first = last
+                out.append(parts)
+            yield pa.array(out, pa.list_(pa.struct([("block", pa.int64()), ("part", pa.string())])))
+
+    parts = F.arrow_udf(cut, _PIECES, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    small_batches(plan.documents)
+    rows = plan.documents.select("src", "bucket", "row", "start", F.explode(parts("text", "start")).alias("piece"))
+    return rows.select("src", "bucket", "row", "start", "piece.block", "piece.part")
+
+
+def blocks(plan: Mix) -> DataFrame:
+    """The packed blocks: src, block, text (its words joined by spaces), parts (bucket, row and words of each document in it).
+
+    The plan must have been made with ``text=True``.
+    """
+    part = F.struct("start", "part", "bucket", "row", word_count(F.col("part")).alias("words"))
+    packed = _cut(plan).groupBy("src", "block").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    return packed.select("src", "block", F.array_join(F.transform("parts", lambda p: p["part"]), " ").alias("text"),
+                         F.transform("parts", lambda p: F.struct(p["bucket"].alias("bucket"), p["row"].alias("row"),
+                                                                 p["words"].alias("words"))).alias("parts"))
 
 
 def shards(plan: Mix) -> DataFrame:
-    """The output blocks: shard, src, slot, block, text (words of the block, joined by spaces).
+    """The output blocks: shard, src, slot, block, text, parts.
 
     The plan must have been made with ``text=True``.
     """
-    word = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = _pieces(plan).filter("words > 0").select(
-        "src", "block", "start", F.array_join(F.slice(word, (F.col("skip") + 1).cast("int"), F.col("words").cast("int")), " ").alias("part"))
-    blocks = cut.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
-    blocks = blocks.select("src", "block", F.array_join(F.transform("parts", lambda p: p["part"]), " ").alias("text"))
-    return plan.slots.join(blocks, ["src", "block"]).select("shard", "src", "slot", "block", "text")
+    return plan.slots.join(blocks(plan), ["src", "block"]).select("shard", "src", "slot", "block", "text", "parts")
+
+
+def taken(plan: Mix, packed: DataFrame | None = None) -> DataFrame:
+    """Per document: doc_id, size, source, source_size, target, taken.
+
+    ``packed``, the output blocks of ``shards``, are what is counted; without them, the positions of the plan.
+    """
+    if packed is None:
+        times = plan.slots.groupBy("src", "block").agg(F.count("*").alias("times"))
+        drawn = _pieces(plan).join(times, ["src", "block"]).select("src", "bucket", "row", (F.col("words") * F.col("times")).alias("words"))
+    else:
+        drawn = packed.select("src", F.explode("parts").alias("p")).select("src", "p.bucket", "p.row", "p.words")
+    drawn = drawn.groupBy("src", "bucket", "row").agg(F.sum("words").alias("taken"))
+    per = plan.placed.join(drawn, ["src", "bucket", "row"], "left")
+    return per.join(F.broadcast(plan.sources), "src").select(
+        "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+
+
+def pack(docs: DataFrame) -> DataFrame:
+    """``taken`` of the default mix, from the output blocks, which are written to the shared folder first."""
+    plan = mix(docs, text=True)
+    path = scratch_path(docs.sparkSession, "mixed")
+    shards(plan).write.option("compression", "zstd").parquet(path)
+    return taken(plan, docs.sparkSession.read.parquet(path))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken(mix(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
+    return pack(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

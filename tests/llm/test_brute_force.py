@@ -343,6 +343,20 @@ def test_mixing(spark, monkeypatch):
     assert dict(zip(again.doc_id, again.taken)) == dict(zip(got.doc_id, got.taken))
 
 
+def test_mix_counts_its_packed_blocks(spark, monkeypatch):
+    docs = table(spark, SF, "documents")
+    packed = []
+    shards = mixing.shards
+    monkeypatch.setattr(mixing, "shards", lambda plan: packed.append(shards(plan)) or packed[-1])
+    got = queries.QUERIES["op8_mixing"](spark, SF).toPandas()
+    assert len(packed) == 1 and len(got) == docs.count()
+    want = mixing.taken(mixing.mix(docs)).toPandas()
+    assert dict(zip(got.doc_id, got.taken)) == dict(zip(want.doc_id, want.taken))
+    assert sum(len(r["text"].split()) for r in packed[0].select("text").collect()) == got.taken.sum()
+    monkeypatch.setattr(mixing, "shards", lambda plan: shards(plan).limit(0))  # nothing packed, nothing taken
+    assert mixing.pack(docs).agg(F.sum("taken")).first()[0] == 0
+
+
 def test_escapes():
     rng = random.Random(8)
     for _ in range(5000):
