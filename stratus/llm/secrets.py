@@ -102,7 +102,7 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     def bucketed(df, low, high):
         return df.withColumn("bucket", F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope))))
 
-    weak = bucketed(parts.filter(~strong), F.col("start") - scope, F.col("end") + scope)
+    weak = bucketed(parts.filter(~strong), F.col("start") - scope - 1, F.col("end") + scope)  # a part's last sign is before its end
     other = bucketed(parts.withColumn("role", role).withColumn("strong", strong), F.col("start"), F.col("end") - 1)
     other = other.select("id", "fp", "len", "bucket", "role", "strong", F.col("start").alias("s"), F.col("end").alias("e"))
     w, o = weak.alias("w"), other.alias("o")

@@ -357,6 +357,13 @@ def test_mix_counts_its_packed_blocks(spark, monkeypatch):
     assert mixing.pack(docs).agg(F.sum("taken")).first()[0] == 0
 
 
+def test_secret_parts_a_whole_scope_apart(spark):
+    ident, weak, scope = secrets.ORDER.index("ident"), secrets.ORDER.index("weak"), secrets.SCOPE
+    parts = spark.createDataFrame([(i, 0, 0, kind, at, end) for i, gap in ((1, scope), (2, scope + 1)) for kind, at, end in (
+        (ident, scope - 10, scope), (weak, scope + gap, scope + gap + 20))], "id long, fp long, len int, kind int, start int, end int")
+    assert {(r["id"], r["kind"]) for r in secrets.link_parts(parts).collect()} == {(1, ident), (1, weak)}
+
+
 def test_escapes():
     rng = random.Random(8)
     for _ in range(5000):
