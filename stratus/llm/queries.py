@@ -1,6 +1,8 @@
 """Registry of the training-data queries: name -> callable(spark, sf_dir), and their oracle SQL."""
 
-from stratus.llm import chat, decontaminate, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash, toxicity
+from stratus.llm import (
+    chat, decontaminate, filter_audit, line_dedup, line_frequency, mixing, pii, quality, secrets, simhash, spelling, top_inner,
+    toxicity)
 
 QUERIES = {
     "op1_line_frequency": line_frequency.op1_line_frequency,
@@ -13,6 +15,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat": chat.op10_chat,
+    "op11_top_inner": top_inner.op11_top_inner,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 ORACLE = {
@@ -20,4 +25,7 @@ ORACLE = {
     "op4_secrets": secrets.OP4_SQL,
     "op6_suffix_arrays": decontaminate.OP6_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op11_top_inner": top_inner.OP11_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
+    "op13_spelling": spelling.OP13_SQL,
 }
