@@ -6,7 +6,7 @@
     python -m stratus analytics --table DIR --out DIR
     python -m stratus models    --table DIR --mart DIR
     python -m stratus quality   --table DIR
-    python -m stratus maintain  --table DIR --compacted DIR [--retention-hours 168]
+    python -m stratus maintain  --table DIR [--run-id ID | --compacted DIR] [--retention-hours 168]
     python -m stratus route     --raw DIR --out DIR
 
 Each command prints one JSON line describing what it did; ``quality`` exits with 1 if a rule failed.
@@ -15,6 +15,7 @@ Each command prints one JSON line describing what it did; ``quality`` exits with
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 
 from stratus.session import build_session, configure
@@ -81,7 +82,11 @@ def cmd_quality(spark, a) -> dict:
 def cmd_maintain(spark, a) -> dict:
     from stratus.operators import upkeep as U
 
-    rep = U.maintenance_report(spark, a.table, a.compacted, a.table_format, a.retention_hours).first()
+    if a.compacted:
+        rep = U.maintenance_report(spark, a.table, a.compacted, a.table_format, a.retention_hours).first()
+    else:
+        run_id = a.run_id or f"upkeep__{dt.datetime.now(dt.timezone.utc).isoformat()}"
+        rep = U.upkeep(spark, a.table, run_id, a.table_format, retention_hours=a.retention_hours).first()
     return {"command": "maintain", "report": rep.asDict(recursive=True)}
 
 
@@ -121,7 +126,8 @@ def main(argv=None) -> None:
         if name == "models":
             s.add_argument("--mart", required=True)
         if name == "maintain":
-            s.add_argument("--compacted", required=True)
+            s.add_argument("--compacted", help="rewrite the whole table to this folder instead of packing small files in place")
+            s.add_argument("--run-id", help="id of the run in the table's log; a run that is there already is not repeated")
             s.add_argument("--retention-hours", type=int, default=168)
     r = sub.add_parser("route")
     r.add_argument("--raw", required=True)

@@ -7,28 +7,26 @@ receives one-row summaries.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
+import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratus.operators.joins import join_checked, materialize
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.session import path_exists
+from stratus.sources import tablelog as L
+from stratus.sources.tablelog import FILE_FORMATS, METRICS_TYPE, OPTIMIZE_TYPE
+from stratus.sources.tablelog import list_files as table_files
 
 # Fixed value: default retention for old-file removal, in hours (7 days).
 RETENTION_HOURS = 168
 
-METRICS_TYPE = T.StructType([
-    T.StructField("table_version", T.IntegerType()),
-    T.StructField("num_files", T.IntegerType()),
-    T.StructField("size_bytes", T.LongType()),
-])
-OPTIMIZE_TYPE = T.StructType([
-    T.StructField("files_added", T.IntegerType()),
-    T.StructField("files_removed", T.IntegerType()),
-    T.StructField("duration_seconds", T.DoubleType()),
-])
 REPORT_SCHEMA = T.StructType([
     T.StructField("delta_path", T.StringType()),
     T.StructField("before", METRICS_TYPE),
@@ -38,49 +36,171 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def table_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One row per data file: path, size, modification time.
+def table_metrics(spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None) -> DataFrame:
+    """One row: table_version, num_files, size_bytes.
 
-    File formats: a distributed listing through the ``binaryFile`` source
-    with the content column pruned, so the cost follows the number of files,
-    not rows (hidden ``_``/``.`` entries such as ``_temporary`` are skipped).
-    Log-based formats (Delta) and streaming sinks must respect their commit
-    log: there the hidden ``_metadata`` columns of a scan are aggregated per
-    file instead.
+    The version is the number of runs in the table's run log, unless given; the
+    files are those of the present version.
     """
-    if fmt in FILE_FORMATS and not _is_stream_sink(spark, path):
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                     .option("pathGlobFilter", f"*.{fmt}").load(path)
-                     .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"),
-                             F.col("modificationTime").alias("modified_at")))
-    return (spark.read.format(fmt).load(path)
-                 .select(F.col("_metadata.file_path").alias("file_path"),
-                         F.col("_metadata.file_size").alias("file_size"),
-                         F.col("_metadata.file_modification_time").alias("modified_at"))
-                 .groupBy("file_path").agg(F.max("file_size").alias("file_size"),
-                                           F.max("modified_at").alias("modified_at")))
-
-
-FILE_FORMATS = {"parquet", "orc", "json", "csv", "avro"}
-
-
-def _is_stream_sink(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+    if fmt in FILE_FORMATS and version is None:
+        log = L.entries(spark, path)
+        files, version = L.files_of(L.manifest(spark, path, fmt, log)), len(log)
+    else:
+        files = table_files(spark, path, fmt)
+    return _metrics(files, version or 0)
 
 
-def table_metrics(spark: SparkSession, path: str, fmt: str = "parquet", version: int = 0) -> DataFrame:
-    """One row: table_version, num_files, size_bytes."""
-    files = table_files(spark, path, fmt)
+def _metrics(files: DataFrame, version: int) -> DataFrame:
     return files.agg(F.lit(version).cast("int").alias("table_version"),
                      F.count(F.lit(1)).cast("int").alias("num_files"),
                      F.coalesce(F.sum("file_size"), F.lit(0)).cast("long").alias("size_bytes"))
 
 
-def _metrics_row(spark, path, fmt, version):
+def _metrics_row(spark, path, fmt, version=None):
     r = table_metrics(spark, path, fmt, version).first()
     return (r["table_version"], r["num_files"], r["size_bytes"])
 
 
+# Compaction: files under SMALL_SHARE of the target are packed, at most CHUNK_FILES of a
+# partition at a time; a rewriting job takes at most JOB_FILES of them.
+TARGET_BYTES = 128 << 20
+SMALL_SHARE = 0.75
+CHUNK_FILES = 2_000
+JOB_FILES = 20_000
+
+
+def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
+    """Bin of every size: the largest come first, each into the first bin that has room for it."""
+    room: list[int] = []
+    bins = [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        at = next((b for b, r in enumerate(room) if r >= sizes[i]), len(room))
+        if at == len(room):
+            room.append(capacity)
+        room[at] -= sizes[i]
+        bins[i] = at
+    return bins
+
+
+def plan_compaction(files: DataFrame, target_bytes: int = TARGET_BYTES, small_share: float = SMALL_SHARE,
+                    chunk_files: int = CHUNK_FILES) -> DataFrame:
+    """Bins of small files to be rewritten as one file each: partition, chunk, bin, n_files, bytes, files.
+
+    ``files`` are rows of a manifest.  Only bins of two files or more are given,
+    so a table that is compact already yields none.  A partition with many small
+    files is packed in chunks, so no task gets an unbounded group.
+    """
+    folder = F.regexp_replace("file_path", r"/[^/]*$", "")
+    small = (files.filter(F.col("file_size") < target_bytes * small_share)
+             .select(F.regexp_extract(folder, r"((/[^/=]+=[^/]*)*)$", 1).alias("full"), "file_path", "file_size", "compacted")
+             .withColumn("partition", F.regexp_replace("full", f"/{L.ATTEMPT}=[^/]*", "")).drop("full"))
+    sizes = small.groupBy("partition").agg(F.ceil(F.count("*") / F.lit(chunk_files)).cast("int").alias("chunks"))
+    small = join_checked(small, sizes, ["partition"])[0]
+    small = small.withColumn("chunk", F.pmod(F.xxhash64("file_path"), F.col("chunks")).cast("int")).drop("chunks")
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("file_path")
+        return group.assign(bin=first_fit_decreasing(group["file_size"].tolist(), target_bytes))
+
+    packed = small.groupBy("partition", "chunk").applyInPandas(
+        pack, "file_path string, file_size long, compacted boolean, partition string, chunk int, bin int")
+    return (packed.groupBy("partition", "chunk", "bin")
+            .agg(F.count("*").alias("n_files"), F.sum("file_size").alias("bytes"),
+                 F.collect_list(F.struct("file_path", "compacted")).alias("files")).filter("n_files > 1"))
+
+
+def _jobs(bins: DataFrame, job_files: int) -> Iterator[list]:
+    """The bins, in lists of at most ``job_files`` files (one bin at least)."""
+    job, n = [], 0
+    for b in bins.toLocalIterator():
+        if job and n + b["n_files"] > job_files:
+            yield job
+            job, n = [], 0
+        job.append(b)
+        n += b["n_files"]
+    if job:
+        yield job
+
+
+def _rewrite(spark: SparkSession, path: str, bins: list, folder: str, fmt: str, schema, cols: list[str]) -> None:
+    """Write every bin as one file; the rows read and those written are counted and must agree."""
+    files = [(f["file_path"], f["compacted"]) for b in bins for f in b["files"]]
+    rows = L.read_files(spark, path, files, fmt, schema, with_path=True)
+    place = spark.createDataFrame([(f["file_path"], i) for i, b in enumerate(bins) for f in b["files"]], "_file string, _bin int")
+    seen = Observation()
+    rows = join_checked(rows.observe(seen, F.count("*").alias("n")), place, ["_file"], small_rows=len(files))[0]
+    kept = Observation()
+    rows = rows.repartitionById(len(bins), F.col("_bin")).drop("_file", "_bin").observe(kept, F.count("*").alias("n"))
+    writer = rows.write.mode("append").format(fmt)
+    (writer.partitionBy(*cols) if cols else writer).save(folder)
+    if seen.get["n"] != kept.get["n"]:
+        raise RuntimeError(f"compaction of {path} read {seen.get['n']} rows and wrote {kept.get['n']}")
+
+
+def upkeep(spark: SparkSession, path: str, run_id: str, fmt: str = "parquet", partition_cols: list[str] | None = None,
+           target_bytes: int = TARGET_BYTES, retention_hours: int = RETENTION_HOURS, schema: T.StructType | None = None,
+           job_files: int = JOB_FILES) -> DataFrame:
+    """One upkeep run on a table of plain files: metrics, selective compaction, retention report, metrics.
+
+    Groups of small files become one file each, in a folder that plain readers
+    pass over; large files stay as they are, and nothing is deleted.  The run's
+    entry in the table's log makes the new version; until it is there, readers see
+    the old one, and a run that failed leaves only files that no version names.
+    A run whose id is in the log does nothing and returns that run's report.
+    """
+    path = path.rstrip("/")
+    cols = partition_cols if partition_cols is not None else PARTITION_COLUMNS
+    log = L.entries(spark, path)
+    if run_id not in {r["run_id"] for r in log}:
+        last, t0 = len(log), time.time()
+        files = materialize(L.manifest(spark, path, fmt, log))
+        before = _metrics(L.files_of(files), last).first()
+        bins = materialize(plan_compaction(L.files_of(files), target_bytes))
+        root = f"{path}/{L.COMPACTED}/{L.ATTEMPT}={uuid.uuid4().hex}"
+        for job in _jobs(bins, job_files):
+            _rewrite(spark, path, job, root, fmt, schema, cols)
+        now = dt.datetime.now(dt.timezone.utc)
+        old = bins.select(F.explode("files.file_path").alias("file_path"), F.lit(True).alias("old"))
+        state = files.join(old, "file_path", "left")
+        state = state.withColumn("replaced_in", F.when(F.col("old"), last + 1).otherwise(F.col("replaced_in")))
+        state = state.withColumn("replaced_at", F.when(F.col("old"), F.lit(now)).otherwise(F.col("replaced_at"))).drop("old")
+        if path_exists(spark, root):
+            state = state.unionByName(L.list_files(spark, root, fmt).select(
+                "*", F.lit(True).alias("compacted"), F.lit(last + 1).alias("added_in"),
+                F.lit(None).cast("int").alias("replaced_in"), F.lit(None).cast("timestamp").alias("replaced_at")))
+        saved = f"{path}/{L.MANIFESTS}/{uuid.uuid4().hex}"
+        state.write.parquet(saved)
+        done, state = time.time() - t0, spark.read.parquet(saved)
+        live = L.files_of(state).agg(F.count("*"), F.coalesce(F.sum("file_size"), F.lit(0)),
+                                     F.count(F.when(F.col("added_in") == last + 1, F.when(F.col("compacted"), 1)))).first()
+        was = bins.agg(F.coalesce(F.sum("n_files"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+        eligible = unreferenced_files(spark, path, fmt, retention_hours, known=state).filter("eligible").count()
+        L.append(spark, path, {
+            "run_id": run_id, "completed_at": now.strftime("%Y-%m-%dT%H:%M:%S.%fZ"), "delta_path": path,
+            "before": dict(zip(METRICS_TYPE.names, before)),
+            "after": dict(zip(METRICS_TYPE.names, (last + 1, live[0], live[1]))),
+            "optimize": dict(zip(OPTIMIZE_TYPE.names, (live[2], was[0], done))),
+            "bytes_rewritten": was[1], "vacuum_files_eligible": eligible, "manifest": saved}, after=last)
+    return L.runs(spark, path).filter(F.col("run_id") == run_id)
+
+
+def unreferenced_files(spark: SparkSession, path: str, fmt: str = "parquet", retention_hours: int = RETENTION_HOURS,
+                       now: dt.datetime | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Files that the present version does not name: file_path, file_size, since, eligible.
+
+    The listing of what is there, less the live files of the last run's manifest
+    and the table's own files that were appended since.  ``since``: when a run
+    replaced the file, or for one that no run ever named, when it was written.
+    ``known``: the manifest to go by, if not the table's own.
+    """
+    there = L.listed(spark, path, fmt)
+    known = (L.manifest(spark, path, fmt) if known is None else known).select("file_path", F.col("replaced_in").isNull().alias("live"), "replaced_at")
+    cutoff = F.lit(now or dt.datetime.now(dt.timezone.utc)) - F.make_dt_interval(hours=F.lit(retention_hours))
+    rest = there.join(known, "file_path", "left").filter(~F.coalesce("live", F.lit(False)))
+    since = F.coalesce("replaced_at", "modified_at")
+    return rest.select("file_path", "file_size", since.alias("since"), (since < cutoff).alias("eligible"))
+
+
 def compact(spark: SparkSession, path: str, new_path: str, fmt: str = "parquet",
             partition_cols: list[str] | None = None) -> dict:
     """Rewrite a table into few, large files at ``new_path``.
@@ -105,8 +225,16 @@ def compact(spark: SparkSession, path: str, new_path: str, fmt: str = "parquet",
 
 
 def retention_report(spark: SparkSession, path: str, fmt: str = "parquet",
-                     retention_hours: int = RETENTION_HOURS) -> DataFrame:
-    """Files older than the retention window (nothing is deleted on Parquet)."""
+                     retention_hours: int = RETENTION_HOURS, now: dt.datetime | None = None) -> DataFrame:
+    """Files that could be removed: no version in use names them, for longer than the retention window.
+
+    Formats with a log of their own: files older than the window.
+    """
+    if fmt in FILE_FORMATS:
+        total = L.listed(spark, path, fmt).count()
+        return unreferenced_files(spark, path, fmt, retention_hours, now).agg(
+            F.coalesce(F.sum(F.col("eligible").cast("int")), F.lit(0)).cast("int").alias("files_eligible"),
+            F.lit(total).cast("int").alias("files_total"), F.lit(retention_hours).alias("retention_hours"))
     cutoff = F.current_timestamp() - F.make_dt_interval(hours=F.lit(retention_hours))
     files = table_files(spark, path, fmt)
     return files.agg(F.sum(F.when(F.col("modified_at") < cutoff, 1).otherwise(0)).cast("int")
@@ -114,15 +242,28 @@ def retention_report(spark: SparkSession, path: str, fmt: str = "parquet",
                      F.lit(retention_hours).alias("retention_hours"))
 
 
-def vacuum(spark: SparkSession, path: str, fmt: str = "parquet", retention_hours: int = RETENTION_HOURS) -> int:
-    """Delta: remove unreferenced old files.  Parquet: report only, returns 0 removed."""
+def vacuum(spark: SparkSession, path: str, fmt: str = "parquet", retention_hours: int = RETENTION_HOURS,
+           delete: bool = False, now: dt.datetime | None = None) -> int:
+    """Remove unreferenced old files; returns how many were removed.
+
+    Tables of plain files lose nothing unless ``delete`` says so.  Versions
+    that named a removed file cannot be read any more.
+    """
     if fmt == "delta":
         try:
             from delta.tables import DeltaTable  # optional connector
         except ImportError as e:  # pragma: no cover - connector absent here
             raise RuntimeError("Delta connector not available") from e
         DeltaTable.forPath(spark, path).vacuum(retention_hours)
-    return 0
+        return 0
+    if not delete:
+        return 0
+    jvm, conf, removed = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    old = materialize(unreferenced_files(spark, path, fmt, retention_hours, now).filter("eligible").select("file_path"))
+    for r in old.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(r["file_path"])
+        removed += bool(p.getFileSystem(conf).delete(p, False))
+    return removed
 
 
 def maintenance_report(spark: SparkSession, path: str, new_path: str, fmt: str = "parquet",

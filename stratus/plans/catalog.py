@@ -24,6 +24,7 @@ from stratus.plans.oracle import (
     WIND_STREAM_DUCK, avg2_sql, mart_duck, mode_sql, title_duck, validation_ctes, with_obs)
 from stratus.session import configure, scratch_path
 from stratus.sources import messages as MS
+from stratus.sources import tablelog as L
 from stratus.sources.lake import read_table, write_partitioned, write_table
 from stratus.sources.observations import city_dimension, observations
 from stratus.streaming import fixtures as SF
@@ -548,26 +549,64 @@ def retention_report(spark, sf_dir):
 
 @register("maintenance_report")
 def maintenance_report(spark, sf_dir):
-    """O-61: metrics -> compact -> retention -> metrics, one nested row."""
-    path, _ = _write_lake(spark, sf_dir)
-    return U.maintenance_report(spark, path, scratch_path(spark, "weather_events_compacted"))
+    """O-61: metrics -> compact -> retention -> metrics, one nested row from the table's run log."""
+    path, schema = _write_lake(spark, sf_dir)
+    return U.upkeep(spark, path, "maintenance", schema=schema).select(*U.REPORT_SCHEMA.names)
+
+
+_SLICE_CTES = """
+bounds AS (SELECT coalesce(min(epoch_us(recorded_at)), 0) AS lo, coalesce(max(epoch_us(recorded_at)), 0) AS hi FROM obs),
+sliced AS (SELECT obs.*, coalesce(least(floor((epoch_us(recorded_at) - lo) / greatest(1, (hi - lo + 3) // 3)), 2), 0) AS slice FROM obs, bounds)"""
+_MONTHS = ["year", "month"]
+
+
+def _slices_with_upkeep(spark, sf_dir, run_ids: list[str], small_files: int = 4):
+    """A table by month that grows by event-time slices of many small files, with an upkeep run after each."""
+    o, path = obs(spark, sf_dir), scratch_path(spark, "weather_events")
+    for cond, run_id in zip(SF.slices(o, len(run_ids)), run_ids):
+        write_partitioned(o.filter(cond).repartition(small_files), path, partition_cols=_MONTHS, rebalance=False)
+        U.upkeep(spark, path, run_id, partition_cols=_MONTHS, schema=o.schema)
+    return path, o.schema
+
+
+@register("compact_selective", with_obs("SELECT * FROM obs"))
+def compact_selective(spark, sf_dir):
+    """O-59: the present version of a table whose small files were packed after every append."""
+    path, schema = _slices_with_upkeep(spark, sf_dir, ["run-0", "run-1", "run-2"])
+    files = L.files_of(L.manifest(spark, path))
+    if files.filter("not compacted").isEmpty() and not files.isEmpty():
+        return L.read_version(spark, path, schema=schema)
+    raise RuntimeError("small files were left")
+
+
+@register("read_as_of_run", with_obs("""
+SELECT CAST(v AS INTEGER) AS version, count(*) AS n_rows, CAST(sum(kafka_offset) AS BIGINT) AS offsets, count(DISTINCT city) AS cities
+FROM sliced, (SELECT unnest(range(4)) AS v) WHERE slice < greatest(v, 1) GROUP BY v""", _SLICE_CTES))
+def read_as_of_run(spark, sf_dir):
+    """O-64: every version of the table, read after all its runs: the rows of that run and no later ones."""
+    path, schema = _slices_with_upkeep(spark, sf_dir, ["run-0", "run-1", "run-2"])
+    out = None
+    for v in range(4):
+        rows = read_table(spark, path, schema=schema, version_as_of=v).agg(
+            F.lit(v).alias("version"), F.count("*").alias("n_rows"), F.sum("kafka_offset").alias("offsets"),
+            F.countDistinct("city").alias("cities"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @register("maintenance_status", with_obs("""
-SELECT run_id, CASE WHEN started_at = mx THEN 'completed' ELSE 'no_result' END AS status,
-       CASE WHEN started_at = mx THEN '0' END AS before_version,
-       CASE WHEN started_at = mx THEN '1' END AS after_version
-FROM (SELECT *, MAX(started_at) OVER () AS mx FROM upkeep_runs)""",
+SELECT run_id, CASE WHEN r <= 2 THEN 'completed' ELSE 'no_result' END AS status,
+       CASE WHEN r <= 2 THEN CAST(least(n, 2) - r AS VARCHAR) END AS before_version,
+       CASE WHEN r <= 2 THEN CAST(least(n, 2) - r + 1 AS VARCHAR) END AS after_version
+FROM (SELECT *, row_number() OVER (ORDER BY started_at DESC) AS r, count(*) OVER () AS n FROM upkeep_runs)""",
     f"upkeep_runs AS ({_runs_duck('day', 'table_upkeep', 'success')})"))
 def maintenance_status(spark, sf_dir):
-    """O-62: one upkeep run per day; only the run that produced a report is completed."""
+    """O-62: the scheduled daily runs against the table's run log, in which the last two days' runs are."""
     o = obs(spark, sf_dir)
-    runs = RL.runs_from_observations(o, "day", "table_upkeep")
-    path, _ = _write_lake(spark, sf_dir)
-    report = U.maintenance_report(spark, path, scratch_path(spark, "weather_events_compacted"))
-    last = RL.latest(runs, 1).select("run_id").first()["run_id"]
-    reports = report.withColumn("run_id", F.lit(last))
-    return U.maintenance_status(runs, reports).drop("files_removed")
+    scheduled = RL.runs_from_observations(o, "day", "table_upkeep")
+    ran = [r["run_id"] for r in RL.latest(scheduled, 2).select("run_id").collect()][::-1]
+    path, _ = _slices_with_upkeep(spark, sf_dir, ran)
+    return U.maintenance_status(scheduled, L.runs(spark, path)).drop("files_removed")
 
 
 # ----------------------------------------------------------- streaming --

@@ -11,11 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stratus.schemas import PARTITION_COLUMNS
+from stratus.sources.tablelog import FILE_FORMATS, read_version
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
                version_as_of: int | None = None, timestamp_as_of: str | None = None) -> DataFrame:
-    """Batch scan of a lake table; time travel is passed through when set."""
+    """Batch scan of a lake table, as of a version or a time when one is given.
+
+    Tables of plain files have the versions of their run log; formats with a
+    log of their own get the options passed through.
+    """
+    if fmt in FILE_FORMATS and (version_as_of is not None or timestamp_as_of is not None):
+        return read_version(spark, path, version_as_of, timestamp_as_of, fmt, schema)
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
