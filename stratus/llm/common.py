@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,16 @@ def text_blocks(batch: pa.Array, max_bytes: int = 8 << 20):
         yield start, rows
 
 
+def byte_blocks(column: pa.Array, max_bytes: int = 8 << 20):
+    """Like ``text_blocks``, but only the texts of one block at a time become Python objects."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype("int64")
+    start = 0
+    while start < len(size):
+        stop = start + max(1, int(size[start:].cumsum().searchsorted(max_bytes, "right")))
+        yield start, texts(column.slice(start, stop - start))
+        start = stop
+
+
 def small_or_shuffled(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Checkpoint ``df``, count it, and hint a broadcast only under ``limit`` rows."""
     saved, n = materialize_counted(df)

@@ -1,16 +1,20 @@
 """Fuzzy line dedup by MinHash.
 
-1. One pass over the text: every distinct normalised line of a batch gets a
+1. One pass over the text: every distinct normalised line of a block gets a
    MinHash signature of its character shingles; each band of the signature is a
-   bucket key.  Lines of a batch that share a bucket are linked to the least of
-   them at once, so a bucket sends one row per batch and no key gets hot.
-2. A shuffle by bucket links the batches' least lines to the bucket's least.
+   bucket key.  Lines of a block that share a bucket are linked to the least of
+   them at once, so a bucket sends one row per block and no key gets hot.
+2. A shuffle of those least lines alone links them to the bucket's least.
 3. Linked pairs are verified by the exact Jaccard similarity of their shingles.
-   Buckets of three or more lines in which a pair fails are compared in full.
+   Only lines that some bucket links are read again; a filter of their hashes
+   keeps the others out of the shuffle.  In buckets of three or more lines in
+   which a pair fails, all lines of different parts are compared, by counting the
+   shingles that an inverted index of the group finds in common.
 4. Connected components; each keeps its first line by (doc_id, line number).
 
-A line is known by the 64-bit hash of its normalised text, a row of documents
-by the 64-bit hash of its doc_id and text.
+A line is known by the 128-bit hash of its normalised text, a row of documents
+by that of its doc_id and text.  Buckets hold the first 64 bits only: lines that
+agree in them are told apart before they are compared.
 """
 
 from __future__ import annotations
@@ -23,20 +27,31 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import small_batches, small_or_shuffled, table, text_blocks
+from stratus.llm.common import BROADCAST_ROWS, byte_blocks, small_batches, small_or_shuffled, table
 from stratus.llm.graph import components
-from stratus.operators.joins import materialize
+from stratus.operators.joins import materialize, materialize_counted
+from stratus.session import scratch_path
 
 SHINGLE = 9
 BANDS, ROWS = 12, 4  # a pair of similarity 0.8 meets in some band with probability 0.998, one of 0.9 with 0.99999
 SIMILARITY = 0.8
 #: Lines of a bucket compared in one group; a larger bucket is cut into blocks.
 GROUP = 512
-
-# Kinds of rows of the text pass; an occurrence has kind OCCURS + line number.
-LEAST, PAIR, DOC, OCCURS = 0, 1, 2, 3
-ROW = "kind int, key long, a long, b long"
-_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+#: Bytes of text that a worker holds as lines at a time.
+BLOCK_BYTES = 8 << 20
+
+#: Bytes of line text in a block of a group, and of the filter that a second reading of the texts goes by.
+GROUP_BYTES = 16 << 20
+FILTER_BYTES = 32 << 20
+BITS_PER_LINE = 24
+
+# Rows of the text pass: a place of a line; a document and its number of lines; a line that is
+# the least of its block in the buckets ``keys``; a pair (hi, lo) of lines of one bucket.
+PLACE, DOC, LEAST, PAIR = range(4)
+ROW = "kind int, hi long, lo long, row struct<hi:long,lo:long>, doc_id long, n long, keys array<long>"
+_ID = pa.struct([("hi", pa.int64()), ("lo", pa.int64())])
+_NAMES = ["kind", "hi", "lo", "row", "doc_id", "n", "keys"]
+_TYPES = [pa.int32(), pa.int64(), pa.int64(), _ID, pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(2)
@@ -48,13 +63,18 @@ def normalised(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
-def line_id(line: bytes) -> int:
-    return xxhash.xxh64_intdigest(line) - (1 << 63)
+def row_key(doc_id: int | None, text: bytes) -> bytes:
+    named = (b"\x00" + text, 0) if doc_id is None else (b"\x01" + text, doc_id & ((1 << 64) - 1))
+    return xxhash.xxh3_128_digest(*named)
 
 
-def row_id(doc_id: int | None, text: bytes) -> int:
-    named = (b"\x00" + text, 0) if doc_id is None else (b"\x01" + text, doc_id & ((1 << 64) - 1))
-    return xxhash.xxh64_intdigest(*named) - (1 << 63)
+def _halves(digests: list[bytes]) -> np.ndarray:
+    """128-bit digests as two columns of signed numbers."""
+    return np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+
+
+def _ids(halves: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1])], fields=list(_ID))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -87,12 +107,26 @@ def shingles(lines: list[bytes]) -> list[np.ndarray]:
             for x, s, e in zip(lines, starts.tolist(), stops.tolist())]
 
 
-def similarities(sets: list[np.ndarray], i: int) -> np.ndarray:
-    """Jaccard similarity of set ``i`` with every set."""
-    size = np.array([len(x) for x in sets])
-    found = np.isin(np.concatenate(sets), sets[i], assume_unique=False)
-    common = np.add.reduceat(found, np.cumsum(size) - size, dtype=np.int64)
-    return common / (size + size[i] - common)
+class Common:
+    """Shingles that the lines of a group have in common, by an inverted index."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(x) for x in sets], np.int64)
+        ends = np.cumsum(self.size)
+        self.first = ends - self.size
+        _, token = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(token, kind="stable")
+        self.token, self.owner = token, np.repeat(np.arange(len(sets)), self.size)[order]
+        self.count = np.bincount(token)
+        self.start = np.cumsum(self.count) - self.count
+
+    def similarities(self, i: int) -> np.ndarray:
+        """Jaccard similarity of line ``i`` with every line."""
+        mine = self.token[self.first[i]:self.first[i] + self.size[i]]
+        count, start = self.count[mine], self.start[mine]
+        at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.size))
+        return common / (self.size + self.size[i] - common)
 
 
 def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,91 +160,131 @@ def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return which, keys.view(np.int64)
 
 
-def _slices(known: dict[int, bytes], chars: int = 1 << 18) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+def _slices(lines: list[bytes], chars: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
     """The lines in slices of about ``chars`` bytes (one line at least), so that arrays per character stay small."""
-    names, lines, size = [], [], 0
-    for name, line in known.items():
-        names.append(name)
-        lines.append(line)
+    at, size = 0, 0
+    for i, line in enumerate(lines):
         size += len(line)
         if size >= chars:
-            yield np.array(names, np.int64), lines
-            names, lines, size = [], [], 0
-    if names:
-        yield np.array(names, np.int64), lines
+            yield at, lines[at:i + 1]
+            at, size = i + 1, 0
+    if at < len(lines):
+        yield at, lines[at:]
+
+
+def _batch(n: int, kind: int, /, **columns) -> pa.RecordBatch:
+    columns["kind"] = pa.array(np.full(n, kind, np.int32))
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, t)) for c, t in zip(_NAMES, _TYPES)],
+                                      schema=pa.schema(list(zip(_NAMES, _TYPES))))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text pass: documents to rows of ROW."""
+    digest = xxhash.xxh3_128_digest
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        for start, block in text_blocks(batch.column("text"), 16 << 20):
-            known: dict[int, bytes] = {}
-            kind, key, a, b = [], [], [], []
-            for doc, text in zip(ids[start:start + len(block)], block):
-                row, n = row_id(doc, text), 0
-                for number, line in enumerate(text.split(b"\n")):
+        for start, block in byte_blocks(batch.column("text"), BLOCK_BYTES):
+            docs = batch.column("doc_id").slice(start, len(block))
+            known: dict[bytes, bytes] = {}
+            found, number, counts = [], [], []
+            for text in block:
+                n = len(found)
+                for i, line in enumerate(text.split(b"\n")):
                     line = normalised(line)
-                    if not line:
-                        continue
-                    h = line_id(line)
-                    known.setdefault(h, line)
-                    n += 1
-                    kind.append(OCCURS + number)
-                    key.append(row)
-                    a.append(h)
-                    b.append(doc)
-                kind.append(DOC)
-                key.append(row)
-                a.append(doc)
-                b.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip((kind, key, a, b), _ARROW)], schema=_ARROW)
-            if not known:
+                    if line:
+                        h = digest(line)
+                        known.setdefault(h, line)
+                        found.append(h)
+                        number.append(i)
+                counts.append(len(found) - n)
+            rows = _ids(_halves([row_key(d, t) for d, t in zip(docs.to_pylist(), block)]))
+            counts = np.array(counts, np.int64)
+            yield _batch(len(block), DOC, row=rows, doc_id=docs, n=pa.array(counts))
+            if not found:
                 continue
-            member, keys = zip(*((np.repeat(names[which], BANDS), keys.ravel()) for names, lines in _slices(known)
-                                 for which, keys in [band_keys(lines)]))
-            member, keys = np.concatenate(member), np.concatenate(keys)
+            owner = pa.array(np.repeat(np.arange(len(block)), counts))
+            ids = _halves(found)
+            yield _batch(len(ids), PLACE, hi=pa.array(ids[:, 0]), lo=pa.array(ids[:, 1]), row=rows.take(owner),
+                         doc_id=docs.take(owner), n=pa.array(np.array(number, np.int64)))
+            del found, number, ids, owner
+            names, lines = _halves(list(known))[:, 0], list(known.values())
+            del known, block
+            parts = [(at + which, keys) for at, some in _slices(lines) for which, keys in [band_keys(some)]]
+            member = np.repeat(names[np.concatenate([w for w, _ in parts])], BANDS)
+            keys = np.concatenate([k for _, k in parts]).ravel()
             order = np.lexsort((member, keys))
             keys, member = keys[order], member[order]
             first = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
             least = member[np.flatnonzero(first)][np.cumsum(first) - 1] if len(keys) else member
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.where(first, LEAST, PAIR), pa.int32()), pa.array(keys), pa.array(least),
-                pa.array(member, mask=first)], schema=_ARROW)
+            rest = ~first & (least != member)
+            single = pa.ListArray.from_arrays(pa.array(np.arange(rest.sum() + 1, dtype=np.int32)), pa.array(keys[rest]))
+            yield _batch(int(rest.sum()), PAIR, hi=pa.array(least[rest]), lo=pa.array(member[rest]), keys=single)
+            keys, member = keys[first], member[first]
+            order = np.argsort(member, kind="stable")
+            keys, member = keys[order], member[order]
+            begin = np.flatnonzero(np.append(True, member[1:] != member[:-1])[:len(member)])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(member)).astype(np.int32)), pa.array(keys))
+            yield _batch(len(begin), LEAST, hi=pa.array(member[begin]), keys=lists)
 
 
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key: a bucket's least lines become pairs; other rows pass."""
+    """Lines (key, a) sorted by key and line: every other line of a bucket is paired with its least."""
     last_key, last = None, None
     for batch in batches:
-        kind = batch.column("kind").to_numpy()
-        yield batch.filter(pa.array(kind != LEAST))
-        rows = batch.filter(pa.array(kind == LEAST))
-        if not rows.num_rows:
+        if not batch.num_rows:
             continue
-        key, a = rows.column("key").to_numpy(), rows.column("a").to_numpy()
+        key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
         first = np.append(key[0] != last_key, key[1:] != key[:-1])
-        group = np.cumsum(first)
         heads = np.append(last if last is not None else 0, a[first])
-        least = heads[group]
+        least = heads[np.cumsum(first)]
         last_key, last = key[-1], least[-1]
         pair = least != a
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(pair.sum(), PAIR), pa.int32()), pa.array(key[pair]), pa.array(least[pair]), pa.array(a[pair])],
-            schema=_ARROW)
-
+        yield pa.RecordBatch.from_arrays([pa.array(key[pair]), pa.array(least[pair]), pa.array(a[pair])], ["key", "a", "b"])
+
+
+def _place(ids: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Block of a hash in the filter, and the bits it has there."""
+    x = ids.view(np.uint64)
+    one, low = np.uint64(1), np.uint64(63)
+    bits = one << (x & low) | one << (x >> np.uint64(6) & low) | one << (x >> np.uint64(12) & low) | one << (x >> np.uint64(18) & low)
+    return ((x >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64), bits
+
+
+def _filter(ids: DataFrame, n: int, filter_bytes: int = FILTER_BYTES) -> np.ndarray:
+    """A blocked Bloom filter of ``n`` distinct ids (hashes), of at most ``filter_bytes``; beyond that more ids pass."""
+    blocks = max(1, min(filter_bytes // 8, n * BITS_PER_LINE // 64))
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = _place(batch.column(0).to_numpy(), blocks)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found.view(np.int64))], ["block", "bits"])
+
+    rows = ids.mapInArrow(bits, "block long, bits long").groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(blocks, np.uint64)
+    out[rows["block"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _line_texts(wanted):
+    """Texts to the distinct lines of every block that pass the filter; ``wanted`` is a broadcast of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, known = xxhash.xxh3_128_digest, wanted.value
+        for batch in batches:
+            for _, block in byte_blocks(batch.column(0), BLOCK_BYTES):
+                found = {}
+                for text in block:
+                    for line in text.split(b"\n"):
+                        line = normalised(line)
+                        if line:
+                            found.setdefault(digest(line), line)
+                if not found:
+                    continue
+                ids = _halves(list(found))
+                at, bits = _place(ids[:, 0].copy(), len(known))
+                hit, lines = np.flatnonzero(known[at] & bits == bits), list(found.values())
+                yield pa.RecordBatch.from_arrays([_ids(ids[hit]), pa.array([lines[i] for i in hit.tolist()], pa.binary()).cast(pa.string())],
+                                                 ["id", "line"])
 
-def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, block in text_blocks(batch.column(0), 16 << 20):
-            known = {}
-            for text in block:
-                for line in text.split(b"\n"):
-                    line = normalised(line)
-                    if line:
-                        known.setdefault(line_id(line), line)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(known), pa.int64()), pa.array(list(known.values()), pa.binary()).cast(pa.string())], ["id", "line"])
+    return run
 
 
 def _similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -228,13 +302,12 @@ def _similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links between lines of a group (of its left and right lines, if it has both) that join its parts."""
     for batch in batches:
-        a, b = [], []
-        for members in batch.column("members"):
-            members = members.as_py()
-            sets = shingles([m["line"].encode() for m in members])
-            names, part = [m["id"] for m in members], np.unique([m["part"] for m in members], return_inverse=True)[1]
-            side = np.array([m["side"] for m in members])
-            both = side.any() and not side.all()
+        for row in batch.column("members"):
+            members = row.values
+            lines = members.field("line").cast(pa.binary()).to_pylist()
+            part = np.unique(members.field("part").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            side = members.field("side").to_numpy(zero_copy_only=False).astype(bool)
+            both, common, a, b = side.any() and not side.all(), Common(shingles(lines)), [], []
             # Every pair of lines of different parts has an end outside the largest part.
             for i in np.flatnonzero(part != np.bincount(part).argmax()).tolist():
                 other = part != part[i]
@@ -242,61 +315,76 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     other &= side != side[i]
                 if not other.any():
                     continue
-                near = similarities(sets, i) >= SIMILARITY
+                near = common.similarities(i) >= SIMILARITY
                 for j in np.flatnonzero(near & other).tolist():
                     if part[j] != part[i]:
                         part[part == part[j]] = part[i]
-                        a.append(names[i])
-                        b.append(names[j])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                        a.append(i)
+                        b.append(j)
+            ids = members.field("id")
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(x, pa.int64())) for x in (a, b)], ["a", "b"])
 
 
 def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(node, component)`` of lines linked to others; ``rows`` are the checkpointed rows of the text pass."""
-    linked = rows.filter(F.col("kind") == PAIR).select("key", "a", "b")
+    """``(node, component)`` of lines (hi, lo) linked to others; ``rows`` are the written rows of the text pass."""
+    spark = docs.sparkSession
+    least = rows.filter(F.col("kind") == LEAST).select(F.explode("keys").alias("key"), F.col("hi").alias("a"))
+    least = least.repartition("key").sortWithinPartitions("key", "a").mapInArrow(_link, "key long, a long, b long")
+    linked = materialize(least.union(rows.filter(F.col("kind") == PAIR).select(F.col("keys")[0], "hi", "lo")))
     pairs = materialize(linked.select("a", "b").distinct())
-    wanted = small_or_shuffled(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    lines = docs.select("text").mapInArrow(_line_texts, "id long, line string")
-    lines = materialize(lines.join(wanted, "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")))
+    wanted, n = materialize_counted(pairs.select(F.explode(F.array("a", "b")).alias("hi")).distinct())
+    known = spark.sparkContext.broadcast(_filter(wanted, n))
+    lines = docs.select("text").mapInArrow(_line_texts(known), "id struct<hi:long,lo:long>, line string")
+    wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
+    lines = lines.join(wanted, lines["id.hi"] == wanted["hi"], "left_semi")
+    lines = materialize(lines.groupBy("id").agg(F.first("line").alias("line")))
+    known.unpersist()
     similar = F.arrow_udf(_similar, "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    sides = (pairs.join(lines.select(F.col("id").alias("a"), F.col("line").alias("x")), "a")
-             .join(lines.select(F.col("id").alias("b"), F.col("line").alias("y")), "b"))
-    tested = materialize(sides.select("a", "b", similar("x", "y").alias("similarity")))
-    good = tested.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
+    sides = (pairs.join(lines.select(F.col("id.hi").alias("a"), F.col("id").alias("a_id"), F.col("line").alias("x")), "a")
+             .join(lines.select(F.col("id.hi").alias("b"), F.col("id").alias("b_id"), F.col("line").alias("y")), "b"))
+    tested = materialize(sides.select("a", "b", "a_id", "b_id", similar("x", "y").alias("similarity")))
+    good = tested.filter(F.col("similarity") >= SIMILARITY).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     more = _rest(linked, tested, lines)
     return components(good.union(more) if more is not None else good)
 
 
 def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame) -> DataFrame | None:
     """Links inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
-    failed = small_or_shuffled(tested.filter(F.col("similarity") < SIMILARITY).select("a", "b"))
+    failed = small_or_shuffled(tested.filter(F.col("similarity") < SIMILARITY).select("a", "b").distinct())
     keys = linked.join(failed, ["a", "b"], "left_semi").select("key").distinct()
     sizes = linked.groupBy("key").agg(F.count("*").alias("pairs"))
-    keys = sizes.join(keys, "key", "left_semi").filter("pairs > 1")
-    keys = small_or_shuffled(keys.select("key", F.ceil((F.col("pairs") + 1) / F.lit(GROUP)).cast("int").alias("g")))
+    keys = sizes.join(keys, "key", "left_semi").filter("pairs > 1").select("key")
+    keys = small_or_shuffled(keys)
     if keys.isEmpty():
         return None
     # Two lines of a bucket that passed as a pair are one part from the start.
     kept = linked.join(keys, "key").join(failed.withColumn("bad", F.lit(True)), ["a", "b"], "left")
     member = F.array(F.struct(F.col("a").alias("id"), F.col("a").alias("part")),
                      F.struct(F.col("b").alias("id"), F.when(F.col("bad"), F.col("b")).otherwise(F.col("a")).alias("part")))
-    members = kept.select("key", "g", F.inline(member)).groupBy("key", "g", "id").agg(F.min("part").alias("part"))
-    # A batch's least line is itself linked to the bucket's least: two steps lead to the part's name.
+    members = kept.select("key", F.inline(member)).groupBy("key", "id").agg(F.min("part").alias("part"))
+    # A block's least line is itself linked to the bucket's least: two steps lead to the part's name.
     upper = members.select("key", F.col("id").alias("part"), F.col("part").alias("upper"))
-    members = members.join(upper, ["key", "part"], "left").select("key", "g", "id", F.coalesce("upper", "part").alias("part"))
+    members = members.join(upper, ["key", "part"], "left").select("key", "id", F.coalesce("upper", "part").alias("part"))
     # Equal buckets (the same lines met in several bands) are compared once.
-    sets = members.groupBy("key", "g").agg(F.bit_xor(F.xxhash64("id")).alias("same"), F.count("*").alias("n"))
-    once = sets.groupBy("same", "n", "g").agg(F.min("key").alias("key"))
-    members = members.join(small_or_shuffled(once.select("key")), "key", "left_semi")
+    members = materialize(members.join(small_or_shuffled(lines.groupBy(F.col("id.hi").alias("id")).agg(F.sum(F.length("line")).alias("bytes"))), "id"))
+    sets = members.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("same"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+                                      F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    once = sets.groupBy("same", "n", "bytes").agg(F.min("key").alias("key"))
+    cut = F.greatest(F.ceil(F.col("n") / F.lit(GROUP)), F.ceil(F.col("bytes") / F.lit(GROUP_BYTES))).cast("int")
+    members = members.drop("bytes").join(small_or_shuffled(once.select("key", cut.alias("g"))), "key")
     members = members.withColumn("i", F.pmod(F.xxhash64("id"), F.col("g")).cast("int"))
     blocks = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.struct(
         F.least(F.col("i"), j).alias("p"), F.greatest(F.col("i"), j).alias("q")))
     members = members.select("key", "id", "part", "i", F.inline(blocks))
-    named = members.join(lines, "id").select("key", "p", "q", F.struct(
-        "id", "part", (F.col("i") == F.col("p")).alias("side"), "line").alias("member"))
-    groups = named.groupBy("key", "p", "q").agg(F.collect_list("member").alias("members"))
+    named = members.join(lines.select(F.col("id.hi").alias("id"), F.col("id").alias("line_id"), "line"), "id")
+    named = named.select("key", "p", "q", F.struct(F.col("line_id").alias("id"), "part", (F.col("i") == F.col("p")).alias("side"), "line").alias("member"))
+    # Tasks by their number, not by bytes: a group costs far more than its size says.
+    spark = lines.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    groups = named.repartition(tasks, "key", "p", "q").groupBy("key", "p", "q").agg(F.collect_list("member").alias("members"))
     open_parts = F.size(F.array_distinct(F.transform("members", lambda m: m["part"]))) > 1
-    return groups.filter(open_parts).select("members").mapInArrow(_compare, "a long, b long").distinct()
+    return groups.filter(open_parts).select("members").mapInArrow(
+        _compare, "a struct<hi:long,lo:long>, b struct<hi:long,lo:long>").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -307,23 +395,23 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     blank lines are neither counted nor removed.  A null text has no lines.  A
     null doc_id comes last in the order that chooses the line kept.  A row that
     repeats both id and text is the same document: what is removed from one is
-    removed from all of them.  Other columns are not read; an empty table gives
-    empty results.
+    removed from all of them.  Texts and lines of any length are read whole.
+    Other columns are not read; an empty table gives empty results.
     """
     base = small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
-    rows = base.mapInArrow(_rows, ROW).repartition("key").sortWithinPartitions("key", "a").mapInArrow(_link, ROW)
-    rows = materialize(rows)
+    path = scratch_path(docs.sparkSession, "lines")
+    base.mapInArrow(_rows, ROW).write.option("compression", "zstd").parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
     named = similar_lines(rows, base)
-    place = rows.filter(F.col("kind") >= OCCURS).select(
-        F.col("a").alias("node"), F.col("key").alias("row"), F.col("b").alias("doc_id"), (F.col("kind") - OCCURS).alias("line"))
+    place = rows.filter(F.col("kind") == PLACE).select(
+        F.struct("hi", "lo").alias("node"), "row", "doc_id", F.col("n").cast("int").alias("line"))
     place = place.join(small_or_shuffled(named), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "row")
     first = place.groupBy("component").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
     first = small_or_shuffled(first.select("component", "first.*").toDF("component", "no_id", "keep_doc_id", "keep_line", "keep_row"))
     removed = place.join(first, "component").filter("row != keep_row or line != keep_line")
     removed = removed.select("row", "line", "keep_doc_id", "keep_line").distinct()
-    return rows.filter(F.col("kind") == DOC).select(F.col("key").alias("row"), F.col("a").alias("doc_id"),
-                                                    F.col("b").alias("n_lines")), removed
+    return rows.filter(F.col("kind") == DOC).select("row", "doc_id", F.col("n").alias("n_lines")), removed
 
 
 def _per_document(removed: DataFrame) -> DataFrame:
@@ -342,7 +430,9 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
 
     def ids(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for doc, text in batches:
-            yield pa.array([row_id(d, (t or "").encode()) for d, t in zip(doc.to_pylist(), text.to_pylist())], pa.int64())
+            out = [_ids(_halves([row_key(d, t) for d, t in zip(doc.slice(at, len(block)).to_pylist(), block)]))
+                   for at, block in byte_blocks(text, BLOCK_BYTES)]
+            yield pa.concat_arrays(out) if out else pa.array([], _ID)
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, lines in batches:
@@ -359,7 +449,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
         return F.arrow_udf(f, kind, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    kept = docs.select(row, udf(ids, "long")(docs["doc_id"].cast("long"), docs["text"]).alias("id"))
+    kept = docs.select(row, udf(ids, "struct<hi:long,lo:long>")(docs["doc_id"].cast("long"), docs["text"]).alias("id"))
     kept = kept.join(gone, "id", "left").select("row", "lines", udf(cut, "string")("row.text", "lines").alias("cut"))
     kept = kept.filter(F.col("cut").isNotNull() | F.col("lines").isNull())
     return kept.select(*[(F.col("cut") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
