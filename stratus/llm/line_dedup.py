@@ -98,25 +98,52 @@ def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return _mixed(h8[:-1] * m[0] + c[8:]), starts, ends - SHINGLE + 1
 
 
-def shingles(lines: list[bytes]) -> list[np.ndarray]:
-    """The distinct shingles of every line, as 64-bit hashes; a line shorter than a shingle is its only one."""
-    if not lines:
-        return []
+def _numbered(lines: list[bytes], number: np.ndarray) -> np.ndarray:
+    """The shingles of every line as 54-bit hashes behind the line's number (10 bits); one shorter than a shingle is its only one."""
     h, starts, stops = _hashed(lines)
-    return [np.unique(h[s:e]) if e > s else np.array([xxhash.xxh64_intdigest(x)], np.uint64)
-            for x, s, e in zip(lines, starts.tolist(), stops.tolist())]
+    short = np.flatnonzero(stops <= starts)
+    if len(short):
+        h[starts[short]] = [xxhash.xxh64_intdigest(lines[i]) for i in short.tolist()]
+        stops[short] = starts[short] + 1
+    count = stops - starts
+    at = np.arange(count.sum()) + np.repeat(starts - np.cumsum(count) + count, count)
+    return np.repeat(number.astype(np.uint64) << np.uint64(54), count) | h[at] >> np.uint64(10)
+
+
+def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``(owner, hash)`` of the distinct shingles of every line, by line."""
+    out = []
+    for at in range(0, len(lines), 1 << 10):
+        some = lines[at:at + (1 << 10)]
+        x = np.sort(_numbered(some, np.arange(len(some))))
+        x = x[np.append(True, x[1:] != x[:-1])]
+        out.append(((x >> np.uint64(54)).astype(np.int64) + at, x & np.uint64((1 << 54) - 1)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def jaccard(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Similarity of the shingle sets of pairs of lines."""
+    out = []
+    for at in range(0, len(left), 1 << 10):
+        number = np.arange(len(left[at:at + (1 << 10)]))
+        a, b = (_numbered(x[at:at + (1 << 10)], number) for x in (left, right))
+        a, b = (x[np.append(True, x[1:] != x[:-1])] for x in (np.sort(a), np.sort(b)))
+        both = np.sort(np.concatenate([a, b]))
+        size = np.bincount((both >> np.uint64(54)).astype(np.int64), minlength=len(number))
+        common = np.bincount((both[1:][both[1:] == both[:-1]] >> np.uint64(54)).astype(np.int64), minlength=len(number))
+        out.append(common / (size - common))
+    return np.concatenate(out) if out else np.zeros(0)
 
 
 class Common:
     """Shingles that the lines of a group have in common, by an inverted index."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.size = np.array([len(x) for x in sets], np.int64)
-        ends = np.cumsum(self.size)
-        self.first = ends - self.size
-        _, token = np.unique(np.concatenate(sets), return_inverse=True)
-        order = np.argsort(token, kind="stable")
-        self.token, self.owner = token, np.repeat(np.arange(len(sets)), self.size)[order]
+    def __init__(self, lines: list[bytes]):
+        owner, h = shingles(lines)
+        self.size = np.bincount(owner, minlength=len(lines))
+        self.first = np.cumsum(self.size) - self.size
+        _, token = np.unique(h, return_inverse=True)
+        self.token, self.owner = token, owner[np.argsort(token, kind="stable")]
         self.count = np.bincount(token)
         self.start = np.cumsum(self.count) - self.count
 
@@ -139,19 +166,13 @@ def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if not len(which):
         return which, np.zeros((0, BANDS), np.int64)
     h = (h >> np.uint64(32)).astype(np.uint32)
+    # A line's shingles, then those that reach into the next line, and so on.
+    ends = np.stack([starts[which], stops[which]], 1).ravel()
     least = np.empty((len(which), BANDS * ROWS), np.uint32)
-    step = 2048
-    buffer = np.empty((BANDS * ROWS, step), np.uint32)
-    for i, (s, e) in enumerate(zip(starts[which].tolist(), stops[which].tolist())):
-        out = least[i]
-        for at in range(s, e, step):
-            part = h[at:min(at + step, e)]
-            b = buffer[:, :len(part)]
-            np.multiply(part, _A, out=b)
-            if at == s:
-                b.min(1, out=out)
-            else:
-                np.minimum(out, b.min(1), out=out)
+    product = np.empty_like(h)
+    for j in range(BANDS * ROWS):
+        np.multiply(h, _A[j], out=product)
+        least[:, j] = np.minimum.reduceat(product, ends)[::2]
     keys = np.zeros((len(which), BANDS), np.uint64)
     wide = least.astype(np.uint64).reshape(len(which), BANDS, ROWS)
     for r in range(ROWS):
@@ -290,13 +311,9 @@ def _line_texts(wanted):
 def _similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for x, y in batches:
         out = []
-        for at in range(0, len(x), 512):
-            left, right = (shingles(z.slice(at, 512).cast(pa.binary()).to_pylist()) for z in (x, y))
-            for a, b in zip(left, right):
-                both = np.sort(np.concatenate([a, b]))
-                common = int((both[1:] == both[:-1]).sum())
-                out.append(common / (len(both) - common))
-        yield pa.array(out, pa.float64())
+        for at, left in byte_blocks(x, 1 << 20):
+            out.append(jaccard(left, y.slice(at, len(left)).cast(pa.binary()).to_pylist()))
+        yield pa.array(np.concatenate(out) if out else [], pa.float64())
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +324,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines = members.field("line").cast(pa.binary()).to_pylist()
             part = np.unique(members.field("part").to_numpy(zero_copy_only=False), return_inverse=True)[1]
             side = members.field("side").to_numpy(zero_copy_only=False).astype(bool)
-            both, common, a, b = side.any() and not side.all(), Common(shingles(lines)), [], []
+            both, common, a, b = side.any() and not side.all(), Common(lines), [], []
             # Every pair of lines of different parts has an end outside the largest part.
             for i in np.flatnonzero(part != np.bincount(part).argmax()).tolist():
                 other = part != part[i]
@@ -344,12 +361,16 @@ def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
              .join(lines.select(F.col("id.hi").alias("b"), F.col("id").alias("b_id"), F.col("line").alias("y")), "b"))
     tested = materialize(sides.select("a", "b", "a_id", "b_id", similar("x", "y").alias("similarity")))
     good = tested.filter(F.col("similarity") >= SIMILARITY).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    more = _rest(linked, tested, lines)
-    return components(good.union(more) if more is not None else good)
+    named = materialize(components(good))
+    more = _rest(linked, tested, lines, named)
+    if more is None:
+        return named
+    # Links between what is one component already, and those that join components.
+    return components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
 
-def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame) -> DataFrame | None:
-    """Links inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
+def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, named: DataFrame) -> DataFrame | None:
+    """Links that join components, inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
     failed = small_or_shuffled(tested.filter(F.col("similarity") < SIMILARITY).select("a", "b").distinct())
     keys = linked.join(failed, ["a", "b"], "left_semi").select("key").distinct()
     sizes = linked.groupBy("key").agg(F.count("*").alias("pairs"))
@@ -357,16 +378,13 @@ def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame) -> DataFrame |
     keys = small_or_shuffled(keys)
     if keys.isEmpty():
         return None
-    # Two lines of a bucket that passed as a pair are one part from the start.
-    kept = linked.join(keys, "key").join(failed.withColumn("bad", F.lit(True)), ["a", "b"], "left")
-    member = F.array(F.struct(F.col("a").alias("id"), F.col("a").alias("part")),
-                     F.struct(F.col("b").alias("id"), F.when(F.col("bad"), F.col("b")).otherwise(F.col("a")).alias("part")))
-    members = kept.select("key", F.inline(member)).groupBy("key", "id").agg(F.min("part").alias("part"))
-    # A block's least line is itself linked to the bucket's least: two steps lead to the part's name.
-    upper = members.select("key", F.col("id").alias("part"), F.col("part").alias("upper"))
-    members = members.join(upper, ["key", "part"], "left").select("key", "id", F.coalesce("upper", "part").alias("part"))
-    # Equal buckets (the same lines met in several bands) are compared once.
-    members = materialize(members.join(small_or_shuffled(lines.groupBy(F.col("id.hi").alias("id")).agg(F.sum(F.length("line")).alias("bytes"))), "id"))
+    members = linked.join(keys, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
+    # Lines that are one component already are one part; each line comes with the bytes of its text.
+    known = lines.select(F.col("id").alias("node"), F.length("line").alias("bytes")).join(named, "node", "left")
+    known = known.select(F.col("node.hi").alias("id"), F.coalesce(F.col("component.hi"), F.col("node.hi")).alias("part"), "bytes")
+    known = known.groupBy("id").agg(F.min("part").alias("part"), F.sum("bytes").alias("bytes"))
+    members = materialize(members.join(small_or_shuffled(known), "id"))
+    # Buckets of one part have no more to tell; equal buckets (the same lines met in several bands) are compared once.
     sets = members.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("same"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
                                       F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
     once = sets.groupBy("same", "n", "bytes").agg(F.min("key").alias("key"))
@@ -405,11 +423,16 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = similar_lines(rows, base)
     place = rows.filter(F.col("kind") == PLACE).select(
         F.struct("hi", "lo").alias("node"), "row", "doc_id", F.col("n").cast("int").alias("line"))
-    place = place.join(small_or_shuffled(named), "node", "left").withColumn("component", F.coalesce("component", "node"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "row")
-    first = place.groupBy("component").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = small_or_shuffled(first.select("component", "first.*").toDF("component", "no_id", "keep_doc_id", "keep_line", "keep_row"))
-    removed = place.join(first, "component").filter("row != keep_row or line != keep_line")
+    # First place of every line, then of every component; only lines with a second place go on.
+    first = place.groupBy("node").agg(F.min(rank).alias("first"), F.count("*").alias("n")).join(named, "node", "left")
+    alone = first.filter(F.col("component").isNull() & (F.col("n") > 1)).select("node", "first")
+    several = materialize(first.filter(F.col("component").isNotNull()).select("node", "component", "first"))
+    joint = several.groupBy("component").agg(F.min("first").alias("first"))
+    keep = alone.union(several.drop("first").join(small_or_shuffled(joint), "component").select("node", "first"))
+    keep = keep.select("node", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line").alias("keep_line"),
+                       F.col("first.row").alias("keep_row"))
+    removed = place.join(small_or_shuffled(keep), "node").filter("row != keep_row or line != keep_line")
     removed = removed.select("row", "line", "keep_doc_id", "keep_line").distinct()
     return rows.filter(F.col("kind") == DOC).select("row", "doc_id", F.col("n").alias("n_lines")), removed
 
