@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +30,24 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def tidy(run):
+    """An iterator function for Python workers that gives freed memory back to the system when it ends.
+
+    Workers are kept for the tasks of later stages; what an allocator keeps
+    for itself would stay beside those stages' own memory.
+    """
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import BROADCAST_ROWS, byte_blocks, small_batches, small_or_shuffled, table
+from stratus.llm.common import BROADCAST_ROWS, byte_blocks, small_batches, small_or_shuffled, table, tidy
 from stratus.llm.graph import components
 from stratus.operators.joins import materialize, materialize_counted
 from stratus.session import scratch_path
@@ -351,26 +351,27 @@ def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = materialize(linked.select("a", "b").distinct())
     wanted, n = materialize_counted(pairs.select(F.explode(F.array("a", "b")).alias("hi")).distinct())
     known = spark.sparkContext.broadcast(_filter(wanted, n))
-    lines = docs.select("text").mapInArrow(_line_texts(known), "id struct<hi:long,lo:long>, line string")
+    lines = docs.select("text").mapInArrow(tidy(_line_texts(known)), "id struct<hi:long,lo:long>, line string")
     wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     lines = lines.join(wanted, lines["id.hi"] == wanted["hi"], "left_semi")
-    lines = materialize(lines.groupBy("id").agg(F.first("line").alias("line")))
+    lines, n = materialize_counted(lines.groupBy("id").agg(F.first("line").alias("line")))
     known.unpersist()
-    similar = F.arrow_udf(_similar, "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
-    sides = (pairs.join(lines.select(F.col("id.hi").alias("a"), F.col("id").alias("a_id"), F.col("line").alias("x")), "a")
-             .join(lines.select(F.col("id.hi").alias("b"), F.col("id").alias("b_id"), F.col("line").alias("y")), "b"))
-    tested = materialize(sides.select("a", "b", "a_id", "b_id", similar("x", "y").alias("similarity")))
-    good = tested.filter(F.col("similarity") >= SIMILARITY).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    named = materialize(components(good))
-    more = _rest(linked, tested, lines, named)
-    if more is None:
-        return named
-    # Links between what is one component already, and those that join components.
-    return components(named.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-
-
-def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, named: DataFrame) -> DataFrame | None:
-    """Links that join components, inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
+    # Where no two of these lines agree in their first 64 bits, those name them.
+    short = lines.select("id.hi").distinct().count() == n
+    lines = lines.withColumn("node", F.col("id.hi") if short else F.col("id"))
+    similar = F.arrow_udf(tidy(_similar), "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    sides = (pairs.join(lines.select(F.col("id.hi").alias("a"), F.col("node").alias("a_node"), F.col("line").alias("x")), "a")
+             .join(lines.select(F.col("id.hi").alias("b"), F.col("node").alias("b_node"), F.col("line").alias("y")), "b"))
+    tested = materialize(sides.select("a", "b", "a_node", "b_node", similar("x", "y").alias("similarity")))
+    good = tested.filter(F.col("similarity") >= SIMILARITY)
+    edges = good.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    more = _rest(linked, tested, good, lines)
+    named = components(edges.union(more) if more is not None else edges)
+    return lines.join(small_or_shuffled(named), "node").select(F.col("id").alias("node"), "component")
+
+
+def _rest(linked: DataFrame, tested: DataFrame, good: DataFrame, lines: DataFrame) -> DataFrame | None:
+    """Links between parts that are not one component yet, inside buckets of three or more lines where some pair failed; None if there are no such buckets."""
     failed = small_or_shuffled(tested.filter(F.col("similarity") < SIMILARITY).select("a", "b").distinct())
     keys = linked.join(failed, ["a", "b"], "left_semi").select("key").distinct()
     sizes = linked.groupBy("key").agg(F.count("*").alias("pairs"))
@@ -379,10 +380,12 @@ def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, named: DataFra
     if keys.isEmpty():
         return None
     members = linked.join(keys, "key").select("key", F.explode(F.array("a", "b")).alias("id")).distinct()
-    # Lines that are one component already are one part; each line comes with the bytes of its text.
-    known = lines.select(F.col("id").alias("node"), F.length("line").alias("bytes")).join(named, "node", "left")
-    known = known.select(F.col("node.hi").alias("id"), F.coalesce(F.col("component.hi"), F.col("node.hi")).alias("part"), "bytes")
-    known = known.groupBy("id").agg(F.min("part").alias("part"), F.sum("bytes").alias("bytes"))
+    # A line's part is the least line it is linked to, and that one's in turn: lines of one part are one
+    # component, whatever bucket linked them.  Each line comes with the bytes of its text.
+    least = small_or_shuffled(good.groupBy(F.col("b").alias("part")).agg(F.min("a").alias("least")))
+    known = lines.groupBy(F.col("id.hi").alias("id")).agg(F.sum(F.length("line")).alias("bytes")).withColumn("part", F.col("id"))
+    for _ in range(2):
+        known = known.join(least, "part", "left").select("id", F.coalesce("least", "part").alias("part"), "bytes")
     members = materialize(members.join(small_or_shuffled(known), "id"))
     # Buckets of one part have no more to tell; equal buckets (the same lines met in several bands) are compared once.
     sets = members.groupBy("key").agg(F.bit_xor(F.xxhash64("id")).alias("same"), F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
@@ -394,15 +397,15 @@ def _rest(linked: DataFrame, tested: DataFrame, lines: DataFrame, named: DataFra
     blocks = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda j: F.struct(
         F.least(F.col("i"), j).alias("p"), F.greatest(F.col("i"), j).alias("q")))
     members = members.select("key", "id", "part", "i", F.inline(blocks))
-    named = members.join(lines.select(F.col("id.hi").alias("id"), F.col("id").alias("line_id"), "line"), "id")
-    named = named.select("key", "p", "q", F.struct(F.col("line_id").alias("id"), "part", (F.col("i") == F.col("p")).alias("side"), "line").alias("member"))
+    named = members.join(lines.select(F.col("id.hi").alias("id"), "node", "line"), "id")
+    named = named.select("key", "p", "q", F.struct(F.col("node").alias("id"), "part", (F.col("i") == F.col("p")).alias("side"), "line").alias("member"))
     # Tasks by their number, not by bytes: a group costs far more than its size says.
     spark = lines.sparkSession
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = named.repartition(tasks, "key", "p", "q").groupBy("key", "p", "q").agg(F.collect_list("member").alias("members"))
     open_parts = F.size(F.array_distinct(F.transform("members", lambda m: m["part"]))) > 1
-    return groups.filter(open_parts).select("members").mapInArrow(
-        _compare, "a struct<hi:long,lo:long>, b struct<hi:long,lo:long>").distinct()
+    node = lines.schema["node"].dataType.simpleString()
+    return groups.filter(open_parts).select("members").mapInArrow(tidy(_compare), f"a {node}, b {node}").distinct()
 
 
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -418,7 +421,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     base = small_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     path = scratch_path(docs.sparkSession, "lines")
-    base.mapInArrow(_rows, ROW).write.option("compression", "zstd").parquet(path)
+    base.mapInArrow(tidy(_rows), ROW).write.option("compression", "zstd").parquet(path)
     rows = docs.sparkSession.read.parquet(path)
     named = similar_lines(rows, base)
     place = rows.filter(F.col("kind") == PLACE).select(

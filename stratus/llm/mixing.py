@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratus.llm.common import small_batches, small_or_shuffled, table
+from stratus.llm.common import small_batches, small_or_shuffled, table, tidy
 from stratus.operators.joins import materialize
 from stratus.session import scratch_path
 
@@ -223,7 +223,7 @@ def _cut(plan: Mix) -> DataFrame:
                 out.append(parts)
             yield pa.array(out, pa.list_(pa.struct([("block", pa.int64()), ("part", pa.string())])))
 
-    parts = F.arrow_udf(cut, _PIECES, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    parts = F.arrow_udf(tidy(cut), _PIECES, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
     small_batches(plan.documents)
     rows = plan.documents.select("src", "bucket", "row", "start", F.explode(parts("text", "start")).alias("piece"))
     return rows.select("src", "bucket", "row", "start", "piece.block", "piece.part")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import small_batches, table, text_blocks
+from stratus.llm.common import small_batches, table, text_blocks, tidy
 from stratus.llm.labels import held_out, sample
 
 #: Labelled documents learnt from at most, and the longest of them in characters.
@@ -560,7 +560,7 @@ def scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", train_rows:
                 out.append(machine.probability(document_margins(block, machine, known)))
             yield pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
 
-    return F.arrow_udf(run, "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    return F.arrow_udf(tidy(run), "double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD,
