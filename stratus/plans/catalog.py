@@ -728,3 +728,42 @@ def stream_validated_topic(spark, sf_dir):
 
     ST.run_available(start)
     return spark.read.schema(ST.parse_stream(ST.read_messages(spark, source)).schema).parquet(sink)
+
+
+@register("stream_route", with_obs(f"""
+SELECT '{V.TOPIC_RAW}' AS topic, message_id, CASE WHEN broken THEN 'unknown' ELSE city_raw END AS key,
+       CAST(NULL AS VARCHAR) AS city, CAST(NULL AS DOUBLE) AS temperature, CAST(NULL AS BIGINT) AS error_count FROM checked
+UNION ALL SELECT '{V.TOPIC_VALID}', message_id, city_raw, {title_duck('city_raw')}, ROUND(temperature, 2), NULL FROM checked WHERE is_valid
+UNION ALL SELECT '{V.TOPIC_INVALID}', message_id, CASE WHEN broken THEN 'unknown' ELSE city_raw END, NULL, NULL, error_count
+FROM checked WHERE NOT is_valid""", validation_ctes()))
+def stream_route(spark, sf_dir):
+    """O-10 as a running stream: raw messages of three runs to three topics, their bodies decoded again."""
+    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False, spread=True)).select(
+        F.lit(None).cast("string").alias("key"), "value", F.lit(0).alias("partition"), F.col("message_id").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"))
+    src, out, ckpt = (scratch_path(spark, n) for n in ("raw", "topics", "router_ckpt"))
+    for run in range(3):
+        raw.filter(F.pmod("offset", F.lit(3)) == run).write.mode("append").parquet(src)
+        ST.run_available(lambda: ST.start_router(ST.read_messages(spark, src), out, ckpt, trigger={"availableNow": True}))
+    valid, invalid = F.col("topic") == V.TOPIC_VALID, F.col("topic") == V.TOPIC_INVALID
+    return spark.read.parquet(out).select(
+        "topic", F.col("offset").alias("message_id"), "key",
+        F.when(valid, F.get_json_object("value", "$.city")).alias("city"),
+        F.when(valid, F.get_json_object("value", "$.temperature").cast("double")).alias("temperature"),
+        F.when(invalid, F.size(F.from_json("value", f"raw string, errors {V.ERROR_TYPE}")["errors"])).cast("long").alias("error_count"))
+
+
+@register("stream_dedup_lowest", with_obs(f"SELECT {_PARSED_COLS} FROM obs"))
+def stream_dedup_lowest(spark, sf_dir):
+    """O-45, O-55: every batch brings its rows' replays before the rows; the lowest offset stays, as in ``dedup_city_time``."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", "lowest_sink", "lowest_ckpt"))
+    # A message a day later closes the last keys; its own key stays open.
+    end = F.lit(o.agg(F.max("recorded_at")).first()[0]) + F.expr("interval 1 day")
+    closing = o.orderBy("kafka_offset").limit(1).withColumn("recorded_at", end).withColumn("kafka_offset", F.lit(-1).cast("long"))
+    for i, cond in enumerate([*SF.slices(o, 3), None]):
+        for replay in ((True, False) if i < 3 else (False,)):
+            SF.stage(o if i < 3 else closing, src, cond, replay=replay)
+        ST.run_available(lambda: ST.start_ingest(ST.dedup_lowest(ST.parse_stream(ST.read_messages(spark, src))), sink, ckpt,
+                                                 trigger={"availableNow": True}, partition_cols=[]))
+    return spark.read.parquet(sink)

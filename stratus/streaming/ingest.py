@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratus.operators.enrich import DEDUP_KEYS, transform_batch
+from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, check, route
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.sources.messages import parse_messages
 
@@ -27,6 +28,7 @@ from stratus.sources.messages import parse_messages
 WATERMARK_DELAY = "10 minutes"
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 VALIDATED_TOPIC = "validated_weather_stream"
+TOPICS = [TOPIC_RAW, TOPIC_VALID, TOPIC_INVALID]
 
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -94,6 +96,20 @@ def dedup_stream(parsed: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return parsed.filter(whole).dropDuplicatesWithinWatermark(keys).unionByName(parsed.filter(~whole))
 
 
+def dedup_lowest(parsed: DataFrame, keys: list[str] | None = None, order: str = "kafka_offset") -> DataFrame:
+    """Cross-batch dedup that does not depend on the order of arrival: of a key's rows the lowest ``order`` stays.
+
+    State holds one row per key, the lowest so far, and gives it out when the
+    watermark has passed the key's event time (which must be one of ``keys``);
+    rows later than that are dropped.  A row that lacks a key passes without state.
+    """
+    keys = keys or DEDUP_KEYS
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    row = F.struct(*[F.col(f"`{c}`") for c in parsed.columns])
+    lowest = parsed.filter(whole).groupBy(*keys).agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    return lowest.unionByName(parsed.filter(~whole))
+
+
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The persistent id of the query that owns a checkpoint (Spark writes it before the first batch)."""
     line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
@@ -126,6 +142,36 @@ def start_enrich(parsed: DataFrame, sink: str, checkpoint: str, fmt: str = "parq
     return _trigger(w, trigger).start()
 
 
+def routed_batch_writer(out: str, checkpoint: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body of the router: one parse of the batch, three topic writes.
+
+    The routed batch is kept while the topics are written, so it is parsed once.
+    Every topic's folder belongs to the query's persistent id and the batch id:
+    a batch that failed between two writes is replayed into the same folders.
+    """
+    known: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(query_id(batch.sparkSession, checkpoint))
+        routed = route(check(batch), keep=["partition", "offset", "timestamp"]).persist()
+        try:
+            for topic in TOPICS:
+                (routed.filter(F.col("topic") == topic).drop("topic").write.mode("overwrite").format(fmt)
+                    .save(f"{out.rstrip('/')}/topic={topic}/query_id={known[0]}/batch_id={batch_id}"))
+        finally:
+            routed.unpersist()
+    return write
+
+
+def start_router(raw: DataFrame, out: str, checkpoint: str, fmt: str = "parquet",
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Stream of raw messages (the columns of ``read_messages``) to the raw, validated and invalid topics."""
+    w = (raw.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(routed_batch_writer(out, checkpoint, fmt)))
+    return _trigger(w, trigger).start()
+
+
 def run_available(start: Callable[[], StreamingQuery]) -> None:
     """Run one ``availableNow`` query to completion (one restart from its checkpoint)."""
     q = start()

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 import os
 
+import pytest
+
 from stratus.streaming import ingest as ST
 
 UTC = dt.timezone.utc
@@ -122,3 +124,59 @@ def test_metrics_on_stream_sink_count_committed_files_only(spark, tmp_dir):
     spark.createDataFrame([(1,)], "x int").write.parquet(os.path.join(sink, "year=2026", "stray"))
     committed = spark.read.parquet(sink).select("_metadata.file_path").distinct().count()
     assert U.table_metrics(spark, sink).first()["num_files"] == committed
+
+
+def test_router_replays_a_batch_after_a_fault(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from stratus.operators import validate as V
+    t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "topics", "ckpt"))
+    _stage(spark, src, [_msg(0, "Paris", t0), ("k", "{broken", 0, 1, t0), _msg(2, "Lima", t0)])
+
+    def run():
+        ST.run_available(lambda: ST.start_router(ST.read_messages(spark, src), out, ckpt, trigger={"availableNow": True}))
+
+    save = DataFrameWriter.save
+
+    def fail(self, path=None, *args, **kwargs):  # after the raw and the validated topic, before the invalid one
+        if path and f"topic={V.TOPIC_INVALID}" in path:
+            raise OSError("lost")
+        return save(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", fail)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert os.path.exists(os.path.join(out, f"topic={V.TOPIC_VALID}")) and not os.path.exists(os.path.join(out, f"topic={V.TOPIC_INVALID}"))
+    monkeypatch.undo()
+    run()
+    _stage(spark, src, [_msg(3, "Oslo", t0)])
+    run()
+    run()
+    got = sorted((r["topic"], r["offset"]) for r in spark.read.parquet(out).collect())
+    # ``_msg`` leaves out some fields, so which record is valid follows from the rules alone.
+    checked = V.check(spark.read.schema(ST.MESSAGE_FILE_SCHEMA).parquet(src))
+    want = sorted((r["topic"], r["offset"]) for r in V.route(checked, keep=["offset"]).collect())
+    assert got == want and len(got) == 8
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lowest_offset_stays_whatever_the_order(spark, tmp_dir, seed):
+    import random
+
+    from stratus.operators.enrich import dedup_keep_first
+    from stratus.sources.messages import parse_messages
+    t0 = dt.datetime(2026, 6, 16, 10, tzinfo=UTC)
+    src, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "sink", "ckpt"))
+    rows = [_msg(i, city, t0 + dt.timedelta(minutes=minute)) for i, (city, minute) in enumerate(
+        [(c, m) for m in range(4) for c in ("Paris", "Lima")] * 3)] + [("k", "{broken", 0, 99, t0)]
+    random.Random(seed).shuffle(rows)
+    # Three batches within the watermark's delay, then one that closes them.
+    for part in (rows[:9], rows[9:17], rows[17:], [_msg(100, "Oslo", t0 + dt.timedelta(hours=2))]):
+        _stage(spark, src, part)
+        ST.run_available(lambda: ST.start_ingest(ST.dedup_lowest(ST.parse_stream(ST.read_messages(spark, src))), sink, ckpt,
+                                                 trigger={"availableNow": True}, partition_cols=[]))
+    got = sorted(r["kafka_offset"] for r in spark.read.parquet(sink).collect())
+    batch = parse_messages(spark.createDataFrame(rows, ST.MESSAGE_FILE_SCHEMA))
+    want = dedup_keep_first(batch.filter("city is not null"), ["city", "recorded_at"], ["kafka_offset"])
+    assert got == sorted([r["kafka_offset"] for r in want.collect()] + [99])
