@@ -10,6 +10,22 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _parts(c) -> tuple[Column, Column]:
+    """A value as double and, where it is one, as an exact decimal."""
+    x = _col(c).cast("double")
+    return x, x.try_cast("decimal(24,10)")
+
+
+def _quotient(total: Column, exact: Column, plain: Column, n: Column, places: int) -> Column:
+    """The average of ``exact`` decimals summing to ``total``; of ``n`` doubles summing to ``plain`` if some were no decimals."""
+    den = F.greatest(exact.cast("decimal(18,0)"), F.lit(1)) * F.lit(2)
+    scale = 10 ** places
+    num = F.abs(total) * F.lit(2 * scale) + exact.cast("decimal(18,0)")
+    units = ((num - num % den) / den).cast("long")
+    value = F.when(total < 0, -units).otherwise(units) / F.lit(float(scale))
+    return F.when(exact == n, value).otherwise(F.round(F.try_divide(plain, n), places))
+
+
 def exact_avg(c, places: int = 2) -> Column:
     """Average rounded half away from zero to ``places`` decimals, summed exactly and rounded once.
 
@@ -20,15 +36,21 @@ def exact_avg(c, places: int = 2) -> Column:
     stays NaN and nothing overflows.  Null values do not count; a group without
     values has a null average.
     """
-    x = _col(c).cast("double")
-    dec = x.try_cast("decimal(24,10)")
-    total, n = F.sum(dec), F.count(dec).cast("decimal(18,0)")
-    scale = 10 ** places
-    den = F.greatest(n, F.lit(1)) * F.lit(2)
-    num = F.abs(total) * F.lit(2 * scale) + n
-    units = ((num - num % den) / den).cast("long")
-    exact = F.when(total < 0, -units).otherwise(units) / F.lit(float(scale))
-    return F.when(F.count(dec) == F.count(x), exact).otherwise(F.round(F.avg(x), places))
+    x, dec = _parts(c)
+    return _quotient(F.sum(dec), F.count(dec), F.sum(x), F.count(x), places)
+
+
+def avg_state(c, name: str) -> list[Column]:
+    """Aggregates that hold ``exact_avg`` of a column in mergeable form (see ``merged_avg``)."""
+    x, dec = _parts(c)
+    return [F.sum(dec).alias(f"{name}_total"), F.count(dec).alias(f"{name}_exact"),
+            F.sum(x).alias(f"{name}_plain"), F.count(x).alias(f"{name}_n")]
+
+
+def merged_avg(name: str, places: int = 2) -> Column:
+    """``exact_avg`` from the columns of ``avg_state`` after each has been summed over the parts."""
+    c = F.col
+    return _quotient(c(f"{name}_total").cast("decimal(34,10)"), c(f"{name}_exact"), c(f"{name}_plain"), c(f"{name}_n"), places)
 
 
 def avg2(c) -> Column:

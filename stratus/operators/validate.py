@@ -158,10 +158,14 @@ def invalid(checked: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def error_rows(checked: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per (record, failed rule)."""
+    """One row per (record, failed rule).
+
+    A record without errors gives no row of itself.  The generator reads an
+    expression: of a plain column Spark infers a filter, pushes it below the
+    projection and evaluates all rules again there, beyond what generated code holds.
+    """
     keep = keep or []
-    return (checked.filter(~F.col("is_valid"))
-                   .select(*keep, F.inline("errors")))
+    return checked.select(*keep, F.inline(F.concat("errors", F.array().cast(ERROR_TYPE))))
 
 
 def message_key(checked: DataFrame) -> Column:

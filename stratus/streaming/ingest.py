@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratus.operators.enrich import DEDUP_KEYS, transform_batch
 from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, check, route
+from stratus.plans.models import update_mart
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.sources.messages import parse_messages
 
@@ -142,6 +143,20 @@ def start_enrich(parsed: DataFrame, sink: str, checkpoint: str, fmt: str = "parq
     return _trigger(w, trigger).start()
 
 
+def start_mart(parsed: DataFrame, state: str, path: str, checkpoint: str, fmt: str = "parquet",
+               trigger: dict | None = None) -> StreamingQuery:
+    """Keep the daily mart up with the stream; a replayed batch replaces what it wrote before (``update_mart``)."""
+    known: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(query_id(batch.sparkSession, checkpoint))
+        update_mart(batch, f"{known[0]}-{batch_id}", state, path, fmt)
+
+    w = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return _trigger(w, trigger).start()
+
+
 def routed_batch_writer(out: str, checkpoint: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body of the router: one parse of the batch, three topic writes.
 

@@ -62,3 +62,13 @@ def test_bad_timestamp_text_is_null_not_error(spark):
     df = spark.createDataFrame([("garbage",), ("2026-06-16T10:00:00+00:00",)], "t string")
     got = [r[0] for r in df.select(F.try_to_timestamp("t")).collect()]
     assert got[0] is None and got[1] is not None
+
+
+def test_error_report_evaluates_its_rules_once(spark):
+    import json
+    from tests.fixtures import BASE_RECORD
+    rows = [(0, json.dumps(BASE_RECORD)), (1, json.dumps({**BASE_RECORD, "humidity": 300, "pressure": 1}))]
+    rows_of = V.error_rows(V.check(spark.createDataFrame(rows, "message_id long, value string")), keep=["message_id"])
+    plan = rows_of._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(V.RANGES["pressure"][2]) == 1 and "Filter" not in plan
+    assert sorted((r["message_id"], r["loc"]) for r in rows_of.collect()) == [(1, "humidity"), (1, "pressure")]
