@@ -18,6 +18,7 @@ from stratus.operators import quality as Q
 from stratus.operators import runlog as RL
 from stratus.operators import upkeep as U
 from stratus.operators import validate as V
+from stratus.operators.enrich import REPLAY_OFFSET
 from stratus.plans import models as M
 from stratus.plans.oracle import (
     HEAT_DUCK, MART_SELECT_DUCK, NORMALIZED_SELECT_DUCK, REPLAY_DEDUP_CTES, STAGING_DUCK, TEMP_BAND_DUCK,
@@ -29,6 +30,7 @@ from stratus.sources.lake import read_table, write_partitioned, write_table
 from stratus.sources.observations import city_dimension, observations
 from stratus.streaming import fixtures as SF
 from stratus.streaming import ingest as ST
+from stratus.streaming import monitor as MO
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -776,3 +778,36 @@ def stream_dedup_lowest(spark, sf_dir):
         ST.run_available(lambda: ST.start_ingest(ST.dedup_lowest(ST.parse_stream(ST.read_messages(spark, src))), sink, ckpt,
                                                  trigger={"availableNow": True}, partition_cols=[]))
     return spark.read.parquet(sink)
+
+
+@register("stream_quality", ORACLE["dq_constraints"])
+def stream_quality(spark, sf_dir):
+    """O-33 in the stream: the constraints' violations as the ingest observed them, summed over its batches."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", "quality_sink", "quality_ckpt"))
+    total: dict[str, int] = {}
+    for cond in SF.slices(o, 3):
+        SF.stage(o, src, cond)
+        for batch in MO.run_watched(spark, lambda: ST.start_ingest(
+                MO.with_quality(ST.parse_stream(ST.read_messages(spark, src))), sink, ckpt,
+                trigger={"availableNow": True}, partition_cols=[])):
+            for rule, n in batch.quality.items():
+                total[rule] = total.get(rule, 0) + n
+    return spark.createDataFrame([("observations", chk, col, total.get(MO.rule_name(chk, col), 0))
+                                  for chk, col, _ in Q.constraint_rules()],
+                                 "scope string, check_name string, column_name string, violations long")
+
+
+@register("stream_late_split", with_obs(f"""
+SELECT false AS late, kafka_offset, city, recorded_at FROM obs
+UNION ALL SELECT coalesce(recorded_at <= (SELECT max(recorded_at) FROM obs) - INTERVAL {ST.WATERMARK_DELAY}, false),
+  kafka_offset + {REPLAY_OFFSET}, city, recorded_at FROM obs"""))
+def stream_late_split(spark, sf_dir):
+    """O-53 with every row in one place: a replay of all rows is late but for the last minutes."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, out, log, ckpt = (scratch_path(spark, n) for n in ("messages", "split", "split_log", "split_ckpt"))
+    for cond, replay in [(c, False) for c in SF.slices(o, 3)] + [(None, True)]:
+        SF.stage(o, src, cond, replay=replay)
+        ST.run_available(lambda: MO.start_split(ST.parse_stream(ST.read_messages(spark, src)), out, log, ckpt,
+                                                trigger={"availableNow": True}))
+    return spark.read.parquet(out).select(F.col("late").cast("boolean"), "kafka_offset", "city", "recorded_at")
