@@ -161,7 +161,7 @@ def mix(docs: DataFrame, weights: list[float] | None = None, block: int = BLOCK,
     documents = placed
     if text:  # rows of equal key are copies of one another, so any one text will do
         words = docs.select(key.alias("key"), F.col("text")).groupBy("key").agg(F.first("text").alias("text"))
-        documents = placed.join(words, "key")
+        documents = placed.join(words.hint("merge"), "key")
     return Mix(documents, src.select("src", "source_size", "target", "n_blocks"),
                _slots(spark, np.array(slots, np.int64), n_blocks, sum(size), seed), block, placed)
 
@@ -246,7 +246,8 @@ def shards(plan: Mix) -> DataFrame:
 
     The plan must have been made with ``text=True``.
     """
-    return plan.slots.join(blocks(plan), ["src", "block"]).select("shard", "src", "slot", "block", "text", "parts")
+    # Neither side is bounded: a merge join, whatever sizes Spark estimates.
+    return plan.slots.join(blocks(plan).hint("merge"), ["src", "block"]).select("shard", "src", "slot", "block", "text", "parts")
 
 
 def taken(plan: Mix, packed: DataFrame | None = None) -> DataFrame:
@@ -256,12 +257,12 @@ def taken(plan: Mix, packed: DataFrame | None = None) -> DataFrame:
     """
     if packed is None:
         times = plan.slots.groupBy("src", "block").agg(F.count("*").alias("times"))
-        drawn = _pieces(plan).join(times, ["src", "block"]).select("src", "bucket", "row", (F.col("words") * F.col("times")).alias("words"))
+        drawn = _pieces(plan).join(times.hint("merge"), ["src", "block"]).select("src", "bucket", "row", (F.col("words") * F.col("times")).alias("words"))
     else:
         drawn = packed.select("src", F.explode("parts").alias("p")).select("src", "p.bucket", "p.row", "p.words")
     drawn = drawn.groupBy("src", "bucket", "row").agg(F.sum("words").alias("taken"))
-    per = plan.placed.join(drawn, ["src", "bucket", "row"], "left")
-    return per.join(F.broadcast(plan.sources), "src").select(
+    per = plan.placed.join(drawn.hint("merge"), ["src", "bucket", "row"], "left")
+    return per.join(plan.sources, "src").select(
         "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
