@@ -201,19 +201,31 @@ def train(rows: list[tuple[str, float, float]], steps: int = 300, ridge: float =
     return {f: float(1 / (1 + np.exp(-(x[i] @ w)))) for i, (f, _, _) in enumerate(rows)}
 
 
+def _union(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that spans cover, in order."""
+    starts, ends = [], []
+    for start, end in sorted(spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def chosen(spans: list[dict], scores: dict[str, float], threshold: float) -> list[dict]:
     """Base spans, and of the others those the classifier accepts that overlap no span taken before, best first."""
     base = sorted((s for s in spans if s["base"]), key=lambda s: (s["kind"], s["start"]))
-    taken = sorted((s["start"], s["end"]) for s in base)
+    starts, ends = _union([(s["start"], s["end"]) for s in base])
     rest = [(-scores.get(s["feats"], 0.0), s["start"], s["end"], s["kind"]) for s in spans if not s["base"]]
     out = [dict(kind=s["kind"], start=s["start"], end=s["end"], base=True, score=scores.get(s["feats"], 0.0)) for s in base]
     for score, start, end, kind in sorted(rest):
         if -score < threshold:
             break
-        i = bisect_left(taken, (start, end))
-        # One span per base kind can begin at a place, so the overlapping ones are among the neighbours.
-        if not any(s < end and e > start for s, e in taken[max(0, i - len(KINDS)):i + len(KINDS)]):
-            taken.insert(i, (start, end))
+        i = bisect_left(starts, end)  # what is taken is disjoint: of the stretches that start before ``end`` the last ends last
+        if i == 0 or ends[i - 1] <= start:
+            starts.insert(i, start)
+            ends.insert(i, end)
             out.append(dict(kind=kind, start=start, end=end, base=False, score=-score))
     return sorted(out, key=lambda s: (s["kind"], s["start"]))
 
