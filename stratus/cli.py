@@ -3,6 +3,7 @@
     python -m stratus ingest    --source DIR --sink DIR --checkpoint DIR [--format parquet|json|kafka]
                                 [--kafka-servers HOST:PORT] [--available-now | --trigger-seconds 30]
                                 [--mode raw|dedup|enrich] [--sink-format parquet] [--max-files N]
+                                [--starting earliest|latest] [--tolerate-loss]
     python -m stratus analytics --table DIR --out DIR
     python -m stratus models    --table DIR --mart DIR
     python -m stratus quality   --table DIR
@@ -32,8 +33,11 @@ def cmd_ingest(spark, a) -> dict:
     from stratus.streaming import ingest as ST
 
     opts = {"kafka.bootstrap.servers": a.kafka_servers} if a.format == "kafka" and a.kafka_servers else {}
+    if a.format == "kafka" and a.starting:
+        opts["startingOffsets"] = a.starting
     parsed = ST.parse_stream(ST.read_messages(spark, a.source, fmt=a.format, options=opts,
-                                                max_files_per_trigger=a.max_files))
+                                                max_files_per_trigger=a.max_files, starting=a.starting or ST.EARLIEST,
+                                                checkpoint=a.checkpoint, tolerate_loss=a.tolerate_loss))
     trigger = {"availableNow": True} if a.available_now else {"processingTime": f"{a.trigger_seconds} seconds"}
     if a.mode == "enrich":
         q = ST.start_enrich(parsed, a.sink, a.checkpoint, a.sink_format, trigger=trigger)
@@ -113,6 +117,9 @@ def main(argv=None) -> None:
     i.add_argument("--kafka-servers")
     i.add_argument("--sink-format", default="parquet")
     i.add_argument("--max-files", type=int, help="files per micro-batch of a file source")
+    i.add_argument("--starting", choices=["earliest", "latest"], help="where a query without a checkpoint begins "
+                   "(Kafka: latest, files: earliest)")
+    i.add_argument("--tolerate-loss", action="store_true", help="files that vanish before they are read are passed over")
     i.add_argument("--available-now", action="store_true")
     i.add_argument("--trigger-seconds", type=int, default=30)
     i.add_argument("--mode", choices=["raw", "dedup", "enrich"], default="raw")

@@ -28,6 +28,7 @@ from stratus.sources import messages as MS
 from stratus.sources import tablelog as L
 from stratus.sources.lake import read_table, write_partitioned, write_table
 from stratus.sources.observations import city_dimension, observations
+from stratus.streaming import faults as FA
 from stratus.streaming import fixtures as SF
 from stratus.streaming import ingest as ST
 from stratus.streaming import monitor as MO
@@ -780,6 +781,53 @@ def stream_dedup_lowest(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register("stream_from_latest", with_obs(f"""
+SELECT {_PARSED_COLS} FROM obs, (SELECT min(epoch_us(recorded_at)) AS lo, max(epoch_us(recorded_at)) AS hi FROM obs)
+WHERE (epoch_us(recorded_at) - lo) // greatest(1, (hi - lo + 3) // 3) >= 1"""))
+def stream_from_latest(spark, sf_dir):
+    """O-58: the first slice is there before the first start from the latest position; what comes after is read, restarts included."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("messages", "latest_sink", "latest_ckpt"))
+
+    def start():
+        raw = ST.read_messages(spark, src, starting=ST.LATEST, checkpoint=ckpt, tolerate_loss=True)
+        return ST.start_ingest(ST.parse_stream(raw), sink, ckpt, trigger={"availableNow": True}, partition_cols=[])
+
+    for cond in SF.slices(o, 3):
+        SF.stage(o, src, cond)
+        ST.run_available(start)
+    return spark.read.parquet(sink)
+
+
+@register("stream_recovery", with_obs("""
+SELECT sink, kafka_offset, city, recorded_at FROM obs, (VALUES ('append'), ('batch')) AS s(sink)"""))
+def stream_recovery(spark, sf_dir):
+    """O-56 under faults: every batch of both sinks is written, lost before its commit, and run again."""
+    o = observations(spark, sf_dir, with_parts=False)
+    src, sink, ckpt, out, out_ckpt = (scratch_path(spark, n) for n in ("messages", "sink", "ckpt", "batches", "batches_ckpt"))
+
+    def append():
+        return ST.start_ingest(ST.parse_stream(ST.read_messages(spark, src)), sink, ckpt,
+                               trigger={"availableNow": True}, partition_cols=[])
+
+    write = FA.fail_after(ST.enriched_batch_writer(out, out_ckpt), range(3))
+
+    def batches():
+        return (ST.parse_stream(ST.read_messages(spark, src)).writeStream.option("checkpointLocation", out_ckpt)
+                  .foreachBatch(write).trigger(availableNow=True).start())
+
+    for i, cond in enumerate(SF.slices(o, 3)):
+        SF.stage(o, src, cond)
+        ST.run_available(append)
+        FA.forget_last_batch(spark, ckpt, sink if i % 2 else None)
+        ST.run_available(append)
+        FA.run_to_fault(batches)
+        ST.run_available(batches)
+    cols = ["kafka_offset", "city", "recorded_at"]
+    return (spark.read.parquet(sink).select(F.lit("append").alias("sink"), *cols)
+            .unionByName(spark.read.parquet(out).select(F.lit("batch").alias("sink"), *cols)))
+
+
 @register("stream_quality", ORACLE["dq_constraints"])
 def stream_quality(spark, sf_dir):
     """O-33 in the stream: the constraints' violations as the ingest observed them, summed over its batches."""

@@ -22,7 +22,9 @@ from stratus.operators.enrich import DEDUP_KEYS, transform_batch
 from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, check, route
 from stratus.plans.models import update_mart
 from stratus.schemas import PARTITION_COLUMNS
+from stratus.session import path_exists
 from stratus.sources.messages import parse_messages
+from stratus.sources.tablelog import put_if_absent
 
 # Event-time lateness bound, documented micro-batch interval and
 # the topic the ingest subscribes to.
@@ -30,6 +32,8 @@ WATERMARK_DELAY = "10 minutes"
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 VALIDATED_TOPIC = "validated_weather_stream"
 TOPICS = [TOPIC_RAW, TOPIC_VALID, TOPIC_INVALID]
+EARLIEST, LATEST = "earliest", "latest"
+START_MARKER = "start_position"
 
 MESSAGE_FILE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -40,13 +44,35 @@ MESSAGE_FILE_SCHEMA = T.StructType([
 ])
 
 
+def start_marker(spark: SparkSession, checkpoint: str, starting: str) -> tuple[str, int]:
+    """The position a query over files first started from, and when that was (ms, by the file system's clock).
+
+    Saved beside the checkpoint at the first start and kept: what a restart asks
+    for changes nothing.  A checkpoint that ran without a marker had all files.
+    """
+    if starting not in (EARLIEST, LATEST):
+        raise ValueError(f"starting position {starting!r} is neither {EARLIEST!r} nor {LATEST!r}")
+    folder = checkpoint.rstrip("/")
+    marker = f"{folder}/{START_MARKER}"
+    if not path_exists(spark, marker):
+        put_if_absent(spark, marker, EARLIEST if path_exists(spark, f"{folder}/metadata") else starting)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(marker)
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return spark.read.text(marker).first()[0], int(status.getModificationTime())
+
+
 def read_messages(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
-                  options: dict | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                  options: dict | None = None, max_files_per_trigger: int | None = None,
+                  starting: str = EARLIEST, checkpoint: str | None = None, tolerate_loss: bool = False) -> DataFrame:
     """Streaming message source.
 
     Kafka: ``subscribe`` the validated topic from the latest offsets and
     tolerate data loss, unless ``options`` say otherwise.  Files: declared
-    schema, optional rate limit.
+    schema, optional rate limit, and the same two choices by argument:
+    ``starting="latest"`` passes over files written before the first start of the
+    query that owns ``checkpoint`` (they are listed, not opened; a file of the
+    marker's own instant is read), ``tolerate_loss`` over files that have
+    vanished by the time they are read.
     """
     opts = dict(options or {})
     if fmt == "kafka":
@@ -57,7 +83,17 @@ def read_messages(spark: SparkSession, path: str | None = None, fmt: str = "parq
     reader = spark.readStream.format(fmt).schema(MESSAGE_FILE_SCHEMA).options(**opts)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    if tolerate_loss:
+        reader = reader.option("ignoreMissingFiles", "true")
+    messages = reader.load(path)
+    if checkpoint is None:
+        if starting != EARLIEST:
+            raise ValueError("a starting position of files is kept with the checkpoint: name it")
+        return messages
+    position, since = start_marker(spark, checkpoint, starting)
+    if position == EARLIEST:
+        return messages
+    return messages.filter(F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(since)))
 
 
 def parse_stream(raw: DataFrame, watermark: str = WATERMARK_DELAY) -> DataFrame:
@@ -118,21 +154,21 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def enriched_batch_writer(sink: str, checkpoint: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body: enrich the micro-batch and overwrite its own partitions.
+    """``foreachBatch`` body: enrich the micro-batch and overwrite its own folder.
 
-    Partitions are date parts, then the query's persistent id and the batch id:
-    a batch replayed after a failure rewrites the same partitions, while a query
-    with a new checkpoint, whose batches count from 0 again, has others.
+    A folder belongs to the query's persistent id and the batch id: a batch
+    replayed after a failure rewrites the same folder, while a query with a new
+    checkpoint, whose batches count from 0 again, has others.  Date parts are
+    columns, so folders grow with batches only, whatever hours a batch spans; a
+    batch covers a short time, so a time range skips files by their statistics.
     """
     known: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if not known:
             known.append(query_id(batch.sparkSession, checkpoint))
-        dates = [c for c in PARTITION_COLUMNS if c in batch.columns]
-        (transform_batch(batch).withColumn("query_id", F.lit(known[0])).withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .format(fmt).partitionBy(*dates, "query_id", "batch_id").save(sink))
+        (transform_batch(batch).write.mode("overwrite").format(fmt)
+            .save(f"{sink.rstrip('/')}/query_id={known[0]}/batch_id={batch_id}"))
     return write
 
 

@@ -39,6 +39,36 @@ def test_run_log_insert_or_ignore(spark):
     assert [(r["run_id"], r["status"]) for r in new] == [("b", "success")]
 
 
+def test_run_log_append_to_a_large_log(spark, tmp_dir):
+    """The filter of the batch's keys keeps strangers from the join; the rows to append are those of the plain anti join."""
+    from pyspark.sql import functions as F
+    rows = lambda lo, hi: spark.range(lo, hi, 1, 4).select(
+        F.concat(F.lit("run-"), F.col("id")).alias("run_id"), F.lit("job").alias("job_name"),
+        F.lit(dt.datetime(2026, 6, 16, 10)).alias("started_at"), F.lit(dt.datetime(2026, 6, 16, 11)).alias("completed_at"),
+        F.col("id").alias("records_processed"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_message"))
+    rows(0, 50_000).write.mode("overwrite").parquet(tmp_dir)
+    log = read_table(spark, tmp_dir, schema=RUN_LOG_SCHEMA)
+    incoming = rows(49_000, 51_000).unionByName(rows(49_500, 50_500))
+    got = RL.append_idempotent(log, incoming)
+    plain = incoming.dropDuplicates(["run_id"]).join(log.select("run_id"), "run_id", "left_anti")
+    assert got.count() == 1_000 and got.exceptAll(plain.select(*RL.RUN_COLUMNS)).count() == 0
+
+    keys = incoming.select("run_id").distinct()
+    passed = RL.may_hold(log.select("run_id"), "run_id", *RL.key_filter(keys, "run_id", 2_000))
+    n = passed.count()
+    assert 1_000 <= n < 3_000  # of 50,000; every key that is in the batch passes
+    assert keys.join(log, "run_id", "left_semi").join(passed, "run_id", "left_anti").count() == 0
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_run_log_filter_without_keys_and_with_null_keys(spark):
+    schema = "run_id string"
+    none, some = spark.createDataFrame([], schema), spark.createDataFrame([("a",), (None,)], schema)
+    assert RL.may_hold(some, "run_id", *RL.key_filter(none, "run_id", 0)).count() == 0
+    assert {r[0] for r in RL.may_hold(some, "run_id", *RL.key_filter(some, "run_id", 2)).collect()} == {"a", None}
+
+
 def test_compaction_preserves_rows(spark, tmp_dir):
     df = date_parts(f2(spark))
     for _ in range(3):
