@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +21,8 @@ BROADCAST_ROWS = 100_000
 
 # Rows of a batch that goes to a Python worker: texts are long, and a batch is held several times over.
 BATCH_ROWS = 1000
+# The same for rows of a few numbers: about a megabyte.
+NUMBER_ROWS = 1 << 16
 
 
 def small_batches(df: DataFrame) -> DataFrame:
@@ -30,6 +33,18 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def number_batches(spark: SparkSession):
+    """Within it, plans of rows of a few numbers reach Python workers in batches of ``NUMBER_ROWS``."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(NUMBER_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def tidy(run):
     """An iterator function for Python workers that gives freed memory back to the system when it ends.
 

@@ -4,7 +4,8 @@
    MinHash signature of its character shingles; each band of the signature is a
    bucket key.  Lines of a block that share a bucket are linked to the least of
    them at once, so a bucket sends one row per block and no key gets hot.
-2. A shuffle of those least lines alone links them to the bucket's least.
+2. A shuffle of those least lines alone links them to the bucket's least (of a
+   batch of its rows; the leasts of batches are linked in turn).
 3. Linked pairs are verified by the exact Jaccard similarity of their shingles.
    Only lines that some bucket links are read again; a filter of their hashes
    keeps the others out of the shuffle.  In buckets of three or more lines in
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import BROADCAST_ROWS, byte_blocks, small_batches, small_or_shuffled, table, tidy
+from stratus.llm.common import BROADCAST_ROWS, byte_blocks, number_batches, small_batches, small_or_shuffled, table, tidy
 from stratus.llm.graph import components
 from stratus.operators.joins import materialize, materialize_counted
 from stratus.session import scratch_path
@@ -248,16 +249,22 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines (key, a) sorted by key and line: every other line of a bucket is paired with its least."""
+    """Lines (key, a) sorted by key: every other line of a bucket is paired with the least of its batch.
+
+    Where a bucket goes on in the next batch, the least so far goes with it, and
+    is paired with that batch's least if that is less: one chain, whatever the order.
+    """
     last_key, last = None, None
     for batch in batches:
         if not batch.num_rows:
             continue
         key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
-        first = np.append(key[0] != last_key, key[1:] != key[:-1])
-        heads = np.append(last if last is not None else 0, a[first])
-        least = heads[np.cumsum(first)]
-        last_key, last = key[-1], least[-1]
+        if key[0] == last_key:
+            key, a = np.append(last_key, key), np.append(last, a)
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        low = np.minimum.reduceat(a, begin)
+        least = np.repeat(low, np.diff(np.append(begin, len(a))))
+        last_key, last = key[-1], low[-1]
         pair = least != a
         yield pa.RecordBatch.from_arrays([pa.array(key[pair]), pa.array(least[pair]), pa.array(a[pair])], ["key", "a", "b"])
 
@@ -346,11 +353,14 @@ def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, component)`` of lines (hi, lo) linked to others; ``rows`` are the written rows of the text pass."""
     spark = docs.sparkSession
     least = rows.filter(F.col("kind") == LEAST).select(F.explode("keys").alias("key"), F.col("hi").alias("a"))
-    least = least.repartition("key").sortWithinPartitions("key", "a").mapInArrow(_link, "key long, a long, b long")
-    linked = materialize(least.union(rows.filter(F.col("kind") == PAIR).select(F.col("keys")[0], "hi", "lo")))
+    # By the key alone, a long: Spark then sorts by radix.
+    least = least.repartition("key").sortWithinPartitions("key").mapInArrow(_link, "key long, a long, b long")
+    with number_batches(spark):
+        linked = materialize(least.union(rows.filter(F.col("kind") == PAIR).select(F.col("keys")[0], "hi", "lo")))
     pairs = materialize(linked.select("a", "b").distinct())
     wanted, n = materialize_counted(pairs.select(F.explode(F.array("a", "b")).alias("hi")).distinct())
-    known = spark.sparkContext.broadcast(_filter(wanted, n))
+    with number_batches(spark):
+        known = spark.sparkContext.broadcast(_filter(wanted, n))
     lines = docs.select("text").mapInArrow(tidy(_line_texts(known)), "id struct<hi:long,lo:long>, line string")
     wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
     lines = lines.join(wanted, lines["id.hi"] == wanted["hi"], "left_semi")

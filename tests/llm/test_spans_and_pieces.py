@@ -1,11 +1,13 @@
-"""Added spans of op5, found and refused; piecewise encoding of op10 against the whole; op8's plan without broadcasts."""
+"""Added spans of op5, found and refused; piecewise encoding of op10 against the whole; op8's plan without broadcasts; buckets of op2 linked."""
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stratus.llm import chat, mixing, pii
+from stratus.llm import chat, line_dedup, mixing, pii
 
 
 @pytest.mark.parametrize("letters", ["ab 's\n\t1!?é中。 \x1c'", "don't we'll  \n it's 12,345.6 ", "aé中1 "])
@@ -84,3 +86,29 @@ def test_mixing_broadcasts_nothing_that_grows(spark):
     assert texts and all("SortMergeJoin" in j for j in texts)
     counted = mixing.taken(plan, mixing.shards(plan))
     assert counted.count() == 300 and counted.agg(F.sum("taken")).first()[0] > 0
+
+
+def test_buckets_are_linked_whatever_the_order_and_the_batches():
+    rng = np.random.default_rng(5)
+    key = np.sort(rng.integers(-40, 40, 600))
+    key[100:300] = key[100]  # one bucket over many batches
+    key = np.sort(key)
+    a = rng.permutation(600)
+    for size in (1, 7, 64, 600):
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[i:i + size]), pa.array(a[i:i + size])], ["key", "a"])
+                   for i in range(0, 600, size)]
+        rows = [r for b in line_dedup._link(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+        assert all(low < other for _, low, other in rows)
+        for k in np.unique(key).tolist():
+            parts = {int(x): int(x) for x in a[key == k]}
+
+            def find(x):
+                while parts[x] != x:
+                    x = parts[x]
+                return x
+
+            for _, low, other in (r for r in rows if r[0] == k):
+                parts[find(other)] = find(low)
+            assert len({find(x) for x in parts}) == 1
+            if size == 600:  # a bucket within a batch is a star about its least line
+                assert {low for kk, low, _ in rows if kk == k} <= {min(parts)}
