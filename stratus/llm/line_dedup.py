@@ -434,18 +434,19 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     base.mapInArrow(tidy(_rows), ROW).write.option("compression", "zstd").parquet(path)
     rows = docs.sparkSession.read.parquet(path)
     named = similar_lines(rows, base)
-    place = rows.filter(F.col("kind") == PLACE).select(
-        F.struct("hi", "lo").alias("node"), "row", "doc_id", F.col("n").cast("int").alias("line"))
+    line, named = ["hi", "lo"], named.select("node.hi", "node.lo", "component")
+    place = rows.filter(F.col("kind") == PLACE).select(*line, "row", "doc_id", F.col("n").cast("int").alias("line"))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "row")
-    # First place of every line, then of every component; only lines with a second place go on.
-    first = place.groupBy("node").agg(F.min(rank).alias("first"), F.count("*").alias("n")).join(named, "node", "left")
-    alone = first.filter(F.col("component").isNull() & (F.col("n") > 1)).select("node", "first")
-    several = materialize(first.filter(F.col("component").isNotNull()).select("node", "component", "first"))
+    # First place of every line, then of every component; only lines with a second place go on.  Keys are
+    # plain numbers: a struct would be sorted without a prefix.
+    first = place.groupBy(*line).agg(F.min(rank).alias("first"), F.count("*").alias("n")).join(named, line, "left")
+    alone = first.filter(F.col("component").isNull() & (F.col("n") > 1)).select(*line, "first")
+    several = materialize(first.filter(F.col("component").isNotNull()).select(*line, "component", "first"))
     joint = several.groupBy("component").agg(F.min("first").alias("first"))
-    keep = alone.union(several.drop("first").join(small_or_shuffled(joint), "component").select("node", "first"))
-    keep = keep.select("node", F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line").alias("keep_line"),
+    keep = alone.union(several.drop("first").join(small_or_shuffled(joint), "component").select(*line, "first"))
+    keep = keep.select(*line, F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line").alias("keep_line"),
                        F.col("first.row").alias("keep_row"))
-    removed = place.join(small_or_shuffled(keep), "node").filter("row != keep_row or line != keep_line")
+    removed = place.join(small_or_shuffled(keep), line).filter("row != keep_row or line != keep_line")
     removed = removed.select("row", "line", "keep_doc_id", "keep_line").distinct()
     return rows.filter(F.col("kind") == DOC).select("row", "doc_id", F.col("n").alias("n_lines")), removed
 
