@@ -77,6 +77,15 @@ def _field(name: str) -> Column:
     return F.col(f"_t_{name}")
 
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` and further columns, each evaluated once per row whatever reads it.
+
+    Like the decode they come out of a generator, which no filter or projection
+    above it is merged with.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def _number(name: str) -> Column:
     """A numeric field as double: a JSON number, numeric text, or a JSON boolean as 1 or 0; else null."""
     txt = F.trim(_field(name))
@@ -94,14 +103,15 @@ def _time(txt: Column) -> Column:
 
 def check(raw: DataFrame, value: str = "value") -> DataFrame:
     """Add typed, normalised fields (``v_<field>``), ``errors`` and ``is_valid``."""
-    df = decode_lax(raw, value)
+    df = _once(decode_lax(raw, value), {f"_n_{f}": _time(_field(f)) if f == "recorded_at" else _number(f)
+                                        for f in ["recorded_at", *FLOAT_FIELDS, *INTEGER_FIELDS]})
     typed: dict[str, Column] = {}
     errs: list[Column] = []
     for f in OBSERVATION_FIELDS:
         txt = _field(f)
         missing = txt.isNull()
         if f in FLOAT_FIELDS:
-            v = _number(f)
+            v = F.col(f"_n_{f}")
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(v.isNull(), _err(f, "float_parsing", MSG["float_parsing"], txt))
             if f in RANGES:
@@ -111,7 +121,7 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
                 e = e.when(v < 0, _err(f, "value_error", "Value error, " + WIND_MSG, txt))
             typed[f] = F.round(v, 2) if f in ROUND_FIELDS else v
         elif f in INTEGER_FIELDS:
-            d = _number(f)
+            d = F.col(f"_n_{f}")
             iv = d.try_cast("int")
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(d.isNull() | F.isnan(d), _err(f, "int_parsing", MSG["int_parsing"], txt)) \
@@ -122,7 +132,7 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
                 e = e.when(~iv.between(lo, hi), _err(f, "value_error", "Value error, " + m, txt))
             typed[f] = iv
         elif f == "recorded_at":
-            ts = _time(txt)
+            ts = F.col(f"_n_{f}")
             e = F.when(missing, _err(f, "missing", MSG["missing"], None)) \
                  .when(ts.isNull(), _err(f, "datetime_parsing", MSG["datetime_parsing"], txt))
             typed[f] = ts
@@ -141,7 +151,7 @@ def check(raw: DataFrame, value: str = "value") -> DataFrame:
     # Each rule gives [] or [error]; flatten keeps every failure in field order.
     no_error = F.array().cast(ERROR_TYPE)
     errors = F.flatten(F.array(*[F.coalesce(e, no_error) for e in errs]))
-    out = df.select("*", *[c.alias(f"v_{f}") for f, c in typed.items()], errors.alias("errors"))
+    out = _once(df, {"errors": errors}).select(*df.columns, *[c.alias(f"v_{f}") for f, c in typed.items()], "errors")
     return out.withColumn("is_valid", F.size("errors") == 0)
 
 

@@ -43,3 +43,13 @@ def test_tasks_grow_with_the_rows(spark):
         spark.conf.unset(P.SPREAD_ROWS_CONF)
     rows = _rows_of_tasks(out)
     assert len(rows) == out.rdd.getNumPartitions() == 20 and sum(rows) == 20_000 and max(rows) <= 1300
+
+
+def test_patterns_and_errors_are_evaluated_once(spark):
+    c = V.check(spark.createDataFrame([(0, json.dumps(BASE_RECORD))], "message_id long, value string"))
+    number = V.NUMBER.replace("(?i)", "")
+    for rows in (c, c.filter(~F.col("is_valid")), V.route(c, keep=["message_id"])):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        # Once per number; the time's own expression has it some times more.
+        assert plan.count(number) < 2 * len(V.FLOAT_FIELDS + V.INTEGER_FIELDS)
+        assert plan.count(V.RANGES["pressure"][2]) == 1
