@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stratus.functions.text import is_blank, strip_lower, title_case
 from stratus.schemas import DOUBLE_FIELDS, INT_FIELDS, OBSERVATION_FIELDS, RAW_TEXT_SCHEMA
+from stratus.sources.lake import open_writers
 
 # Inclusive valid ranges (None = unbounded) and their messages.
 RANGES = {
@@ -47,6 +48,7 @@ ROUND_FIELDS = ["temperature", "feels_like", "wind_speed"]
 TOPIC_RAW = "raw_weather_stream"
 TOPIC_VALID = "validated_weather_stream"
 TOPIC_INVALID = "invalid_weather_stream"
+TOPICS = [TOPIC_RAW, TOPIC_VALID, TOPIC_INVALID]
 
 
 ERROR_TYPE = "array<struct<loc:string,type:string,msg:string,input:string>>"
@@ -216,4 +218,5 @@ def write_routed(routed: DataFrame, target: str, fmt: str = "parquet", options:
     if fmt == "kafka":
         out.write.format("kafka").options(**(options or {})).save()
         return
-    out.write.mode("append").format(fmt).partitionBy("topic").save(target)
+    with open_writers(out.sparkSession, len(TOPICS)):
+        out.write.mode("append").format(fmt).partitionBy("topic").save(target)

@@ -7,6 +7,9 @@ connector package at module load.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -38,6 +41,22 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     df.write.mode(mode).format(fmt).save(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession, n: int) -> Iterator[None]:
+    """Writes inside keep a file open for each of up to ``n`` partition values of a task.
+
+    By default a task sorts all its rows by the partition columns, in memory, to
+    write one file after the other.  Beyond ``n`` values the rest is sorted as before.
+    """
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(conf, old)
+
+
 def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                       partition_cols: list[str] | None = None, rebalance: bool = True) -> None:
     """Partitioned write (year/month/day/hour by default).

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratus.operators.enrich import DEDUP_KEYS, transform_batch
-from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, check, route
+from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, TOPICS, check, route  # noqa: F401
 from stratus.plans.models import update_mart
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.session import path_exists
@@ -31,7 +31,6 @@ from stratus.sources.tablelog import put_if_absent
 WATERMARK_DELAY = "10 minutes"
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 VALIDATED_TOPIC = "validated_weather_stream"
-TOPICS = [TOPIC_RAW, TOPIC_VALID, TOPIC_INVALID]
 EARLIEST, LATEST = "earliest", "latest"
 START_MARKER = "start_position"
 
