@@ -305,8 +305,8 @@ def parse_messages_q(spark, sf_dir):
     return MS.parse_messages(MS.encode_messages(observations(spark, sf_dir, with_parts=False, spread=True)))
 
 
-def _checked(spark, sf_dir):
-    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False, spread=True))
+def _checked(spark, sf_dir, by_time=False):
+    raw = MS.untidy_messages(observations(spark, sf_dir, with_parts=False, spread=True, by_time=by_time))
     return V.check(raw)
 
 
@@ -724,14 +724,15 @@ FROM checked WHERE is_valid""", validation_ctes()))
 def stream_validated_topic(spark, sf_dir):
     """O-10 -> O-01 -> O-06 end to end: raw records are validated and routed to a
     topic-partitioned table; the validated topic is streamed into the lake table."""
-    checked = _checked(spark, sf_dir)
+    # Topic files cover event-time ranges (a time-ordered feed), so each stream
+    # task writes only its own hour directories.  The records are ordered before
+    # they are checked: a range exchange runs what is below it twice.
+    checked = _checked(spark, sf_dir, by_time=True)
     routed = V.route(checked, keep=["message_id", "v_recorded_at"]).select(
         "topic", "key", "value", (F.col("message_id") % 3).cast("int").alias("partition"),
         F.col("message_id").alias("offset"), F.col("v_recorded_at").alias("timestamp"))
     topics, sink, ckpt = (scratch_path(spark, n) for n in ("topics", "validated_sink", "validated_ckpt"))
-    # Topic files cover event-time ranges (a time-ordered feed), so each stream
-    # task writes only its own hour directories.
-    V.write_routed(routed.repartitionByRange(spark.sparkContext.defaultParallelism, "timestamp"), topics)
+    V.write_routed(routed, topics)
     source = f"{topics}/topic={V.TOPIC_VALID}"
 
     def start():

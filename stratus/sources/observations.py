@@ -40,7 +40,7 @@ def date_parts(df: DataFrame, ts: str = "recorded_at") -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True,
-                 with_city_id: bool = False, spread: bool = False) -> DataFrame:
+                 with_city_id: bool = False, spread: bool = False, by_time: bool = False) -> DataFrame:
     """Typed observation rows (the lake table's content).
 
     Column formulas (fixed adapter definition, shared with the oracle SQL):
@@ -51,10 +51,12 @@ def observations(spark: SparkSession, sf_dir: str, with_parts: bool = True,
     cloudiness = (k*3) % 101; condition = event_type; description = event_type || ' sky'.
     """
     from stratus.operators.joins import broadcast_if_bounded
-    from stratus.operators.partitioning import ensure_parallelism
+    from stratus.operators.partitioning import ensure_parallelism, tasks_for
 
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    if spread:  # heavy per-row work follows (JSON, regex): use every core
+    if by_time:  # the same, in contiguous ranges of event time, as a feed delivers them
+        ev = ev.repartitionByRange(tasks_for(spark, ev.count()), "ts")
+    elif spread:  # heavy per-row work follows (JSON, regex): use every core
         ev = ensure_parallelism(ev)
     dim = broadcast_if_bounded(city_dimension(spark, sf_dir), cache_key=f"city_dimension:{sf_dir}")
     k = F.get_json_object("props", "$.k").cast("int")

@@ -1,12 +1,14 @@
 """Work per task where the input is one large file."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from stratus.operators import partitioning as P
 from stratus.operators import validate as V
+from stratus.sources.lake import open_writers
 from stratus.sources.observations import observations
 from tests.fixtures import BASE_RECORD
 
@@ -48,8 +50,60 @@ def test_tasks_grow_with_the_rows(spark):
 def test_patterns_and_errors_are_evaluated_once(spark):
     c = V.check(spark.createDataFrame([(0, json.dumps(BASE_RECORD))], "message_id long, value string"))
     number = V.NUMBER.replace("(?i)", "")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
     for rows in (c, c.filter(~F.col("is_valid")), V.route(c, keep=["message_id"])):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         # Once per number; the time's own expression has it some times more.
         assert plan.count(number) < 2 * len(V.FLOAT_FIELDS + V.INTEGER_FIELDS)
         assert plan.count(V.RANGES["pressure"][2]) == 1
+
+
+def test_topic_files_cover_times_and_records_are_checked_once(spark, monkeypatch):
+    import __spark_entry__ as E
+    from stratus.plans import catalog
+
+    written = []
+    write = catalog.V.write_routed
+
+    def keep(routed, target, **kwargs):
+        written.append((routed, target))
+        write(routed, target, **kwargs)
+
+    monkeypatch.setattr(catalog.V, "write_routed", keep)
+    E.queries()["stream_validated_topic"](spark, SF)
+    (routed, target), = written
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    # Nothing is exchanged above the decode; a range exchange would run it twice.
+    assert "from_json" in plan and "Exchange" not in plan[:plan.index("from_json")] and "rangepartitioning(ts" in plan
+    spans = sorted(tuple(r)[1:] for r in spark.read.parquet(f"{target}/topic={V.TOPIC_VALID}").groupBy(
+        F.input_file_name()).agg(F.min("timestamp").alias("lo"), F.max("timestamp")).collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_topics_are_written_without_a_sort(spark, tmp_dir):
+    good = json.dumps(BASE_RECORD)
+    rows = [(i, good if i % 3 else "{broken") for i in range(30)]
+    routed = V.route(V.check(spark.createDataFrame(rows, "message_id long, value string").coalesce(1)))
+    seen = []
+    listener_conf = "spark.sql.maxConcurrentOutputFileWriters"
+    save = type(routed.write).save
+
+    def look(self, *args, **kwargs):
+        seen.append(spark.conf.get(listener_conf))
+        return save(self, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(routed.write), "save", look)
+        V.write_routed(routed, tmp_dir)
+    assert seen == ["3"] and spark.conf.get(listener_conf) == "0"
+    out = spark.read.parquet(tmp_dir)
+    assert {r["topic"]: r["count"] for r in out.groupBy("topic").count().collect()} == {
+        V.TOPIC_RAW: 30, V.TOPIC_VALID: 20, V.TOPIC_INVALID: 10}
+    assert sorted(os.listdir(tmp_dir))[-3:] == sorted(f"topic={t}" for t in V.TOPICS)
+
+
+def test_more_values_than_open_writers(spark, tmp_dir):
+    rows = spark.range(0, 1000, numPartitions=2).withColumn("p", F.col("id") % 7)
+    with open_writers(spark, 3):
+        rows.write.mode("append").partitionBy("p").parquet(tmp_dir)
+    assert spark.read.parquet(tmp_dir).groupBy("p").count().filter("count in (142, 143)").count() == 7
