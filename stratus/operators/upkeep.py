@@ -21,6 +21,7 @@ from stratus.operators.joins import join_checked, materialize
 from stratus.schemas import PARTITION_COLUMNS
 from stratus.session import path_exists
 from stratus.sources import tablelog as L
+from stratus.sources.lake import open_writers
 from stratus.sources.tablelog import FILE_FORMATS, METRICS_TYPE, OPTIMIZE_TYPE
 from stratus.sources.tablelog import list_files as table_files
 
@@ -132,7 +133,8 @@ def _rewrite(spark: SparkSession, path: str, bins: list, folder: str, fmt: str,
     kept = Observation()
     rows = rows.repartitionById(len(bins), F.col("_bin")).drop("_file", "_bin").observe(kept, F.count("*").alias("n"))
     writer = rows.write.mode("append").format(fmt)
-    (writer.partitionBy(*cols) if cols else writer).save(folder)
+    with open_writers(spark, 1):  # a task's rows are of one bin, and so of one partition: nothing to sort
+        (writer.partitionBy(*cols) if cols else writer).save(folder)
     if seen.get["n"] != kept.get["n"]:
         raise RuntimeError(f"compaction of {path} read {seen.get['n']} rows and wrote {kept.get['n']}")
 

@@ -41,6 +41,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     df.write.mode(mode).format(fmt).save(path)
 
 
+# Files that a task of a partitioned write without rebalancing keeps open.
+OPEN_WRITERS = 4
+
+
 @contextmanager
 def open_writers(spark: SparkSession, n: int) -> Iterator[None]:
     """Writes inside keep a file open for each of up to ``n`` partition values of a task.
@@ -63,10 +67,12 @@ def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", mode: str
 
     ``rebalance`` shuffles rows by the partition columns first, with AQE free
     to split a hot partition value over several tasks and merge small ones,
-    so each output directory gets few, evenly sized files.
+    so each output directory gets few, evenly sized files.  Without it a task may
+    hold many rows of few partition values, which it then writes unsorted.
     """
     cols = partition_cols or PARTITION_COLUMNS
     if rebalance:
         df = df.hint("rebalance", *cols)
-    df.write.mode(mode).format(fmt).partitionBy(*cols).save(path)
+    with open_writers(df.sparkSession, 0 if rebalance else OPEN_WRITERS):
+        df.write.mode(mode).format(fmt).partitionBy(*cols).save(path)
 
