@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratus.operators.enrich import DEDUP_KEYS, transform_batch
+from stratus.operators.partitioning import ensure_parallelism
 from stratus.operators.validate import TOPIC_INVALID, TOPIC_RAW, TOPIC_VALID, TOPICS, check, route  # noqa: F401
 from stratus.plans.models import update_mart
 from stratus.schemas import PARTITION_COLUMNS
@@ -195,7 +196,8 @@ def start_mart(parsed: DataFrame, state: str, path: str, checkpoint: str, fmt: s
 def routed_batch_writer(out: str, checkpoint: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body of the router: one parse of the batch, three topic writes.
 
-    The routed batch is kept while the topics are written, so it is parsed once.
+    The routed batch is kept while the topics are written, so it is parsed once;
+    its rows are counted and spread first, so no task keeps or reads too many.
     Every topic's folder belongs to the query's persistent id and the batch id:
     a batch that failed between two writes is replayed into the same folders.
     """
@@ -204,7 +206,7 @@ def routed_batch_writer(out: str, checkpoint: str, fmt: str = "parquet") -> Call
     def write(batch: DataFrame, batch_id: int) -> None:
         if not known:
             known.append(query_id(batch.sparkSession, checkpoint))
-        routed = route(check(batch), keep=["partition", "offset", "timestamp"]).persist()
+        routed = route(check(ensure_parallelism(batch)), keep=["partition", "offset", "timestamp"]).persist()
         try:
             for topic in TOPICS:
                 (routed.filter(F.col("topic") == topic).drop("topic").write.mode("overwrite").format(fmt)

@@ -107,3 +107,42 @@ def test_more_values_than_open_writers(spark, tmp_dir):
     with open_writers(spark, 3):
         rows.write.mode("append").partitionBy("p").parquet(tmp_dir)
     assert spark.read.parquet(tmp_dir).groupBy("p").count().filter("count in (142, 143)").count() == 7
+
+
+def test_router_spreads_a_batch(spark, tmp_dir):
+    from stratus.streaming import ingest as ST
+
+    src, out, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "topics", "ckpt"))
+    (spark.range(0, 4000, numPartitions=1).select(
+        F.lit("k").alias("key"), F.lit(json.dumps(BASE_RECORD)).alias("value"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp")).write.parquet(src))
+    spark.conf.set(P.SPREAD_ROWS_CONF, "500")
+    try:
+        ST.run_available(lambda: ST.start_router(ST.read_messages(spark, src), out, ckpt, trigger={"availableNow": True}))
+    finally:
+        spark.conf.unset(P.SPREAD_ROWS_CONF)
+    files = spark.read.parquet(out).filter(F.col("topic") == V.TOPIC_VALID).groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 8 and sum(f["count"] for f in files) == 4000 and max(f["count"] for f in files) < 800
+
+
+def test_compaction_and_plain_writes_do_not_sort(spark, tmp_dir):
+    from stratus.operators import upkeep as U
+    from stratus.sources import tablelog as L
+    from stratus.sources.lake import write_partitioned
+
+    seen = []
+    sorts = type(spark.range(1).write).save
+
+    def look(self, *args, **kwargs):
+        seen.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return sorts(self, *args, **kwargs)
+
+    rows = spark.range(0, 3000).withColumn("year", (F.col("id") % 2).cast("int"))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(rows.write), "save", look)
+        for _ in range(2):
+            write_partitioned(rows.repartition(3, "id"), tmp_dir, partition_cols=["year"], rebalance=False)
+        U.upkeep(spark, tmp_dir, "a", partition_cols=["year"])
+    assert seen == [4, 4, 1]
+    assert L.files_of(L.manifest(spark, tmp_dir)).count() == 2
+    assert L.read_version(spark, tmp_dir).groupBy("id", "year").count().filter("count = 2").count() == 3000
