@@ -4,8 +4,8 @@
    MinHash signature of its character shingles; each band of the signature is a
    bucket key.  Lines of a block that share a bucket are linked to the least of
    them at once, so a bucket sends one row per block and no key gets hot.
-2. A shuffle of those least lines alone links them to the bucket's least (of a
-   batch of its rows; the leasts of batches are linked in turn).
+2. A shuffle of those least lines alone, in arrays by ranges of keys, links them
+   to the bucket's least.
 3. Linked pairs are verified by the exact Jaccard similarity of their shingles.
    Only lines that some bucket links are read again; a filter of their hashes
    keeps the others out of the shuffle.  In buckets of three or more lines in
@@ -20,7 +20,7 @@ agree in them are told apart before they are compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,10 @@ GROUP_BYTES = 16 << 20
 FILTER_BYTES = 32 << 20
 BITS_PER_LINE = 24
 
+#: Bucket keys are shuffled in arrays by their first bits, and linked so many at a time (a range of keys at least).
+RANGE_BITS = 12
+KEYS = 1 << 19
+
 # Rows of the text pass: a place of a line; a document and its number of lines; a line that is
 # the least of its block in the buckets ``keys``; a pair (hi, lo) of lines of one bucket.
 PLACE, DOC, LEAST, PAIR = range(4)
@@ -54,6 +58,9 @@ _ID = pa.struct([("hi", pa.int64()), ("lo", pa.int64())])
 _NAMES = ["kind", "hi", "lo", "row", "doc_id", "n", "keys"]
 _TYPES = [pa.int32(), pa.int64(), pa.int64(), _ID, pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
+#: A lower-case text with none of these, nor a space at its ends, has normalised lines.
+_SPACES = (b"\t", b"\r", b"\x0b", b"\x0c", b"  ", b" \n", b"\n ")
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(2)
 _A = (_rng.integers(0, 1 << 31, (BANDS * ROWS, 1), np.int64).astype(np.uint32) << 1) | np.uint32(1)
@@ -64,6 +71,19 @@ def normalised(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
+def normalised_lines(text: bytes) -> tuple[list[bytes], Sequence[int]]:
+    """The normalised lines of a text that are not blank, and their numbers."""
+    text = text.lower()
+    lines = text.split(b"\n")
+    if text[:1] == b" " or text[-1:] == b" " or any(x in text for x in _SPACES):
+        lines = [b" ".join(line.split()) for line in lines]
+    number = range(len(lines))
+    if b"" in lines:
+        number = [i for i, line in enumerate(lines) if line]
+        lines = [lines[i] for i in number]
+    return lines, number
+
+
 def row_key(doc_id: int | None, text: bytes) -> bytes:
     named = (b"\x00" + text, 0) if doc_id is None else (b"\x01" + text, doc_id & ((1 << 64) - 1))
     return xxhash.xxh3_128_digest(*named)
@@ -79,8 +99,11 @@ def _ids(halves: np.ndarray) -> pa.StructArray:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MIX
-    return x ^ (x >> np.uint64(29))
+    y = x >> np.uint64(32)
+    y ^= x
+    y *= _MIX
+    y ^= y >> np.uint64(29)
+    return y
 
 
 def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,15 +111,23 @@ def _hashed(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     ``stop - start`` is not positive for a line shorter than a shingle.
     """
-    codes = np.frombuffer(b"\n".join(lines).decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    text = b"\n".join(lines)
+    codes = (np.frombuffer(text, np.uint8) if text.isascii() else
+             np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32))
     ends = np.append(np.flatnonzero(codes == 10), len(codes))
     starts = np.append(0, ends[:-1] + 1)
-    c = np.append(codes, np.zeros(SHINGLE, np.uint32)).astype(np.uint64)
+    c = np.zeros(len(codes) + SHINGLE, np.uint64)
+    c[:len(codes)] = codes
     m = [np.uint64(pow(0x9DDFEA08EB382D69, p, 1 << 64)) for p in (1, 2, 4)]
-    h2 = c[:-1] * m[0] + c[1:]
-    h4 = h2[:-2] * m[1] + h2[2:]
-    h8 = h4[:-4] * m[2] + h4[4:]
-    return _mixed(h8[:-1] * m[0] + c[8:]), starts, ends - SHINGLE + 1
+    h = c[:-1] * m[0]
+    h += c[1:]
+    for step, by in ((2, m[1]), (4, m[2])):
+        more = h[:-step] * by
+        more += h[step:]
+        h = more
+    h = h[:-1] * m[0]
+    h += c[8:]
+    return _mixed(h), starts, ends - SHINGLE + 1
 
 
 def _numbered(lines: list[bytes], number: np.ndarray) -> np.ndarray:
@@ -136,6 +167,11 @@ def jaccard(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])[:len(x)])
+
+
 class Common:
     """Shingles that the lines of a group have in common, by an inverted index."""
 
@@ -143,10 +179,11 @@ class Common:
         owner, h = shingles(lines)
         self.size = np.bincount(owner, minlength=len(lines))
         self.first = np.cumsum(self.size) - self.size
-        _, token = np.unique(h, return_inverse=True)
-        self.token, self.owner = token, owner[np.argsort(token, kind="stable")]
-        self.count = np.bincount(token)
-        self.start = np.cumsum(self.count) - self.count
+        order = np.argsort(h)
+        self.start = _begins(h[order])
+        self.count = np.diff(np.append(self.start, len(h)))
+        self.token, self.owner = np.empty(len(h), np.int64), owner[order]
+        self.token[order] = np.repeat(np.arange(len(self.start)), self.count)
 
     def similarities(self, i: int) -> np.ndarray:
         """Jaccard similarity of line ``i`` with every line."""
@@ -182,7 +219,7 @@ def band_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return which, keys.view(np.int64)
 
 
-def _slices(lines: list[bytes], chars: int = 1 << 18) -> Iterator[tuple[int, list[bytes]]]:
+def _slices(lines: list[bytes], chars: int = 1 << 16) -> Iterator[tuple[int, list[bytes]]]:
     """The lines in slices of about ``chars`` bytes (one line at least), so that arrays per character stay small."""
     at, size = 0, 0
     for i, line in enumerate(lines):
@@ -209,15 +246,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[bytes, bytes] = {}
             found, number, counts = [], [], []
             for text in block:
-                n = len(found)
-                for i, line in enumerate(text.split(b"\n")):
-                    line = normalised(line)
-                    if line:
-                        h = digest(line)
-                        known.setdefault(h, line)
-                        found.append(h)
-                        number.append(i)
-                counts.append(len(found) - n)
+                lines, at = normalised_lines(text)
+                hashes = list(map(digest, lines))
+                known.update(zip(hashes, lines))
+                found += hashes
+                number += at
+                counts.append(len(hashes))
             rows = _ids(_halves([row_key(d, t) for d, t in zip(docs.to_pylist(), block)]))
             counts = np.array(counts, np.int64)
             yield _batch(len(block), DOC, row=rows, doc_id=docs, n=pa.array(counts))
@@ -248,6 +282,30 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(len(begin), LEAST, hi=pa.array(member[begin]), keys=lists)
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines ``hi`` in the buckets ``keys``, to one row for each range of keys among about ``KEYS`` of them."""
+    def ranges(parts: list) -> pa.RecordBatch:
+        key, line = (np.concatenate(x) for x in zip(*parts))
+        at = (key.view(np.uint64) >> np.uint64(64 - RANGE_BITS)).astype(np.uint16)
+        order = np.argsort(at, kind="stable")
+        at = at[order]
+        begin = _begins(at)
+        ends = pa.array(np.append(begin, len(at)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(at[begin].astype(np.int32)), *(
+            pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in (key, line))], ["range", "keys", "lines"])
+
+    parts, n = [], 0
+    for batch in batches:
+        lists = batch.column("keys")
+        parts.append((lists.flatten().to_numpy(), np.repeat(batch.column("hi").to_numpy(), lists.value_lengths().to_numpy())))
+        n += len(parts[-1][0])
+        if n >= KEYS:
+            yield ranges(parts)
+            parts, n = [], 0
+    if n:
+        yield ranges(parts)
+
+
 def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines (key, a) sorted by key: every other line of a bucket is paired with the least of its batch.
 
@@ -261,7 +319,7 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, a = batch.column("key").to_numpy(), batch.column("a").to_numpy()
         if key[0] == last_key:
             key, a = np.append(last_key, key), np.append(last, a)
-        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        begin = _begins(key)
         low = np.minimum.reduceat(a, begin)
         least = np.repeat(low, np.diff(np.append(begin, len(a))))
         last_key, last = key[-1], low[-1]
@@ -269,6 +327,32 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(key[pair]), pa.array(least[pair]), pa.array(a[pair])], ["key", "a", "b"])
 
 
+def _link_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_link`` of the rows of ``_spread``, sorted by range."""
+    def ordered(keys: list, lines: list) -> pa.RecordBatch:
+        key = np.concatenate(keys)
+        order = np.argsort(key)
+        return pa.RecordBatch.from_arrays([pa.array(key[order]), pa.array(np.concatenate(lines)[order])], ["key", "a"])
+
+    def ranges() -> Iterator[pa.RecordBatch]:
+        last, keys, lines, n = None, [], [], 0
+        for batch in batches:
+            at = batch.column("range").to_numpy()
+            begin = _begins(at).tolist()
+            for start, stop in zip(begin, [*begin[1:], len(at)]):
+                if n >= KEYS and at[start] != last:
+                    yield ordered(keys, lines)
+                    keys, lines, n = [], [], 0
+                last = at[start]
+                for to, column in ((keys, "keys"), (lines, "lines")):
+                    to.append(batch.column(column).slice(start, stop - start).flatten().to_numpy())
+                n += len(keys[-1])
+        if n:
+            yield ordered(keys, lines)
+
+    yield from _link(ranges())
+
+
 def _place(ids: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """Block of a hash in the filter, and the bits it has there."""
     x = ids.view(np.uint64)
@@ -292,6 +376,27 @@ def _filter(ids: DataFrame, n: int, filter_bytes: int = FILTER_BYTES) -> np.ndar
     return out
 
 
+def _passes(known: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at, bits = _place(ids, len(known))
+    return known[at] & bits == bits
+
+
+def _only(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The ``rows`` whose ``hi`` is among the ``n`` distinct ``ids``, and few others, checkpointed."""
+    spark = rows.sparkSession
+
+    def hit(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for hi in batches:
+            yield pa.array(_passes(known.value, hi.to_numpy()))
+
+    with number_batches(spark):
+        known = spark.sparkContext.broadcast(_filter(ids, n))
+        hit = F.arrow_udf(hit, "boolean", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+        out = materialize(rows.withColumn("hit", hit("hi")).filter("hit").drop("hit"))
+    known.unpersist()
+    return out
+
+
 def _line_texts(wanted):
     """Texts to the distinct lines of every block that pass the filter; ``wanted`` is a broadcast of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,17 +405,15 @@ def _line_texts(wanted):
             for _, block in byte_blocks(batch.column(0), BLOCK_BYTES):
                 found = {}
                 for text in block:
-                    for line in text.split(b"\n"):
-                        line = normalised(line)
-                        if line:
-                            found.setdefault(digest(line), line)
+                    lines, _ = normalised_lines(text)
+                    found.update(zip(map(digest, lines), lines))
                 if not found:
                     continue
                 ids = _halves(list(found))
-                at, bits = _place(ids[:, 0].copy(), len(known))
-                hit, lines = np.flatnonzero(known[at] & bits == bits), list(found.values())
-                yield pa.RecordBatch.from_arrays([_ids(ids[hit]), pa.array([lines[i] for i in hit.tolist()], pa.binary()).cast(pa.string())],
-                                                 ["id", "line"])
+                hit, lines = np.flatnonzero(_passes(known, ids[:, 0].copy())), list(found.values())
+                yield pa.RecordBatch.from_arrays([pa.array(ids[hit, 0]), pa.array(ids[hit, 1]),
+                                                  pa.array([lines[i] for i in hit.tolist()], pa.binary()).cast(pa.string())],
+                                                 ["hi", "lo", "line"])
 
     return run
 
@@ -352,19 +455,18 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def similar_lines(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, component)`` of lines (hi, lo) linked to others; ``rows`` are the written rows of the text pass."""
     spark = docs.sparkSession
-    least = rows.filter(F.col("kind") == LEAST).select(F.explode("keys").alias("key"), F.col("hi").alias("a"))
-    # By the key alone, a long: Spark then sorts by radix.
-    least = least.repartition("key").sortWithinPartitions("key").mapInArrow(_link, "key long, a long, b long")
-    with number_batches(spark):
-        linked = materialize(least.union(rows.filter(F.col("kind") == PAIR).select(F.col("keys")[0], "hi", "lo")))
+    least = rows.filter(F.col("kind") == LEAST).select("hi", "keys")
+    least = least.mapInArrow(tidy(_spread), "range int, keys array<long>, lines array<long>")
+    least = least.repartition("range").sortWithinPartitions("range").mapInArrow(tidy(_link_ranges), "key long, a long, b long")
+    linked = materialize(least.union(rows.filter(F.col("kind") == PAIR).select(F.col("keys")[0], "hi", "lo")))
     pairs = materialize(linked.select("a", "b").distinct())
     wanted, n = materialize_counted(pairs.select(F.explode(F.array("a", "b")).alias("hi")).distinct())
     with number_batches(spark):
         known = spark.sparkContext.broadcast(_filter(wanted, n))
-    lines = docs.select("text").mapInArrow(tidy(_line_texts(known)), "id struct<hi:long,lo:long>, line string")
+    lines = docs.select("text").mapInArrow(tidy(_line_texts(known)), "hi long, lo long, line string")
     wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
-    lines = lines.join(wanted, lines["id.hi"] == wanted["hi"], "left_semi")
-    lines, n = materialize_counted(lines.groupBy("id").agg(F.first("line").alias("line")))
+    lines = lines.join(wanted, "hi", "left_semi").groupBy("hi", "lo").agg(F.first("line").alias("line"))
+    lines, n = materialize_counted(lines.select(F.struct("hi", "lo").alias("id"), "line"))
     known.unpersist()
     # Where no two of these lines agree in their first 64 bits, those name them.
     short = lines.select("id.hi").distinct().count() == n
@@ -433,17 +535,21 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     path = scratch_path(docs.sparkSession, "lines")
     base.mapInArrow(tidy(_rows), ROW).write.option("compression", "zstd").parquet(path)
     rows = docs.sparkSession.read.parquet(path)
-    named = similar_lines(rows, base)
-    line, named = ["hi", "lo"], named.select("node.hi", "node.lo", "component")
+    line = ["hi", "lo"]
+    named = materialize(similar_lines(rows, base).select("node.hi", "node.lo", "component"))
     place = rows.filter(F.col("kind") == PLACE).select(*line, "row", "doc_id", F.col("n").cast("int").alias("line"))
+    # Only lines with a second place, or linked to others, go on: the places of all others are not shuffled.
+    more = place.groupBy("hi").agg(F.count("*").alias("n")).filter("n > 1").select("hi")
+    place = _only(place, *materialize_counted(more.union(named.select("hi")).distinct()))
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "row")
-    # First place of every line, then of every component; only lines with a second place go on.  Keys are
-    # plain numbers: a struct would be sorted without a prefix.
+    # First place of every line, then of every component.  Keys are plain numbers: a struct would be sorted
+    # without a prefix.
     first = place.groupBy(*line).agg(F.min(rank).alias("first"), F.count("*").alias("n")).join(named, line, "left")
-    alone = first.filter(F.col("component").isNull() & (F.col("n") > 1)).select(*line, "first")
-    several = materialize(first.filter(F.col("component").isNotNull()).select(*line, "component", "first"))
+    first = materialize(first.filter("component is not null or n > 1").select(*line, "component", "first"))
+    alone, several = first.filter("component is null"), first.filter("component is not null")
     joint = several.groupBy("component").agg(F.min("first").alias("first"))
-    keep = alone.union(several.drop("first").join(small_or_shuffled(joint), "component").select(*line, "first"))
+    keep = (alone.select(*line, "first")
+            .union(several.drop("first").join(small_or_shuffled(joint), "component").select(*line, "first")))
     keep = keep.select(*line, F.col("first.doc_id").alias("keep_doc_id"), F.col("first.line").alias("keep_line"),
                        F.col("first.row").alias("keep_row"))
     removed = place.join(small_or_shuffled(keep), line).filter("row != keep_row or line != keep_line")
