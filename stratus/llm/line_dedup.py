@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import BROADCAST_ROWS, byte_blocks, number_batches, small_batches, small_or_shuffled, table, tidy
+from stratus.llm.common import BROADCAST_ROWS, byte_blocks, number_batches, packed, small_batches, small_or_shuffled, table, tidy, unpacked
 from stratus.llm.graph import components
 from stratus.operators.joins import materialize, materialize_counted
 from stratus.session import scratch_path
@@ -569,33 +569,55 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     texts stay.
     """
     _, removed = dedup_lines(docs)
-    gone = small_or_shuffled(_per_document(removed).select(F.col("row").alias("id"), F.col("removed.line").alias("lines")))
+    gone, n = materialize_counted(_per_document(removed).select("row.hi", "row.lo", F.col("removed.line").alias("lines")))
+    with number_batches(docs.sparkSession):
+        known = docs.sparkSession.sparkContext.broadcast(_filter(gone.select("hi").distinct(), n))
 
-    def ids(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def marked(batches: Iterator[tuple[pa.Array, pa.Array]], keep: bool) -> Iterator[tuple[pa.Array, np.ndarray, list[bytes]]]:
+        """Row keys of a batch, which of its rows may have lost lines, and their texts."""
         for doc, text in batches:
-            out = [_ids(_halves([row_key(d, t) for d, t in zip(doc.slice(at, len(block)).to_pylist(), block)]))
-                   for at, block in byte_blocks(text, BLOCK_BYTES)]
-            yield pa.concat_arrays(out) if out else pa.array([], _ID)
+            ids, hits, found = [np.zeros((0, 2), np.int64)], [np.zeros(0, bool)], []
+            for at, block in byte_blocks(text, BLOCK_BYTES):
+                ids.append(_halves([row_key(d, t) for d, t in zip(doc.slice(at, len(block)).to_pylist(), block)]))
+                hits.append(_passes(known.value, ids[-1][:, 0].copy()) & np.array([bool(t) for t in block]))
+                found += [packed(block[i]) for i in np.flatnonzero(hits[-1]).tolist()] if keep else []
+            yield np.concatenate(ids), np.concatenate(hits), found
+
+    def untouched(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for _, hit, _ in marked(batches, False):
+            yield pa.array(~hit)
+
+    def touched(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, hit, found in marked(batches, True):
+            text = np.full(len(hit), None, object)
+            text[hit] = found
+            yield pa.StructArray.from_arrays([pa.array(ids[:, 0]), pa.array(ids[:, 1]), pa.array(text, pa.binary())], ["hi", "lo", "packed"])
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, lines in batches:
             out = []
-            for t, drop in zip(text.to_pylist(), lines.to_pylist()):
+            for t, drop in zip(text, lines.to_pylist()):
+                t = unpacked(t.as_py())
                 if drop:
                     drop = set(drop)
-                    rest = [x for i, x in enumerate(t.split("\n")) if i not in drop]
-                    t = "\n".join(rest) if any(normalised(x.encode()) for x in rest) else None
+                    rest = [x for i, x in enumerate(t.split(b"\n")) if i not in drop]
+                    t = b"\n".join(rest) if any(normalised(x) for x in rest) else None
                 out.append(t)
-            yield pa.array(out, pa.string())
+            yield pa.array(out, pa.binary()).cast(pa.string())
 
     def udf(f, kind):
-        return F.arrow_udf(f, kind, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+        return F.arrow_udf(tidy(f), kind, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
 
+    # A text that lost lines meets their numbers, packed; the others are not shuffled.
+    key = docs["doc_id"].cast("long"), docs["text"]
     row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    kept = docs.select(row, udf(ids, "struct<hi:long,lo:long>")(docs["doc_id"].cast("long"), docs["text"]).alias("id"))
-    kept = kept.join(gone, "id", "left").select("row", "lines", udf(cut, "string")("row.text", "lines").alias("cut"))
-    kept = kept.filter(F.col("cut").isNotNull() | F.col("lines").isNull())
-    return kept.select(*[(F.col("cut") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    rest = docs.select(row, udf(untouched, "boolean")(*key).alias("whole")).filter("whole").select("row.*")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("row")
+    some = docs.select(row, udf(touched, "struct<hi:long,lo:long,packed:binary>")(*key).alias("as")).select("row", "as.*")
+    some = some.filter("packed is not null").join(F.broadcast(gone) if n <= BROADCAST_ROWS else gone, ["hi", "lo"], "left")
+    some = some.select("row", udf(cut, "string")("packed", "lines").alias("cut")).filter("cut is not null")
+    some = some.select(*[(F.col("cut") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return rest.union(some)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stratus.llm.common import small_batches, small_or_shuffled, table, tidy
+from stratus.llm.common import byte_blocks, packed, small_batches, small_or_shuffled, table, tidy, unpacked
 from stratus.operators.joins import materialize
 from stratus.session import scratch_path
 
@@ -106,9 +106,28 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return x.astype(np.int64)
 
 
+def _udf(run, kind: str):
+    return F.arrow_udf(tidy(run), kind, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+
+
+def _pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for text in batches:
+        null = text.is_null().to_pylist()
+        at, out = 0, []
+        for _, block in byte_blocks(text):
+            out += [None if no else packed(t) for no, t in zip(null[at:], block)]
+            at += len(block)
+        yield pa.array(out, pa.binary())
+
+
+def _unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for data in batches:
+        yield pa.array([None if x is None else unpacked(x) for x in data.to_pylist()], pa.binary()).cast(pa.string())
+
+
 @dataclass
 class Mix:
-    documents: DataFrame  #: doc_id, text if asked for, source, src, size, row, start (first word in the source's stream)
+    documents: DataFrame  #: doc_id, text (and packed) if asked for, source, src, size, row, start (first word in the source's stream)
     sources: DataFrame  #: src, source_size, target, n_blocks
     slots: DataFrame  #: shard, src, slot, epoch, block
     block: int
@@ -159,9 +178,10 @@ def mix(docs: DataFrame, weights: list[float] | None = None, block: int = BLOCK,
     placed = placed.select("doc_id", "source", "src", "size", "bucket", "row", "key",
                            (F.col("before") + F.col("running")).alias("start"))
     documents = placed
-    if text:  # rows of equal key are copies of one another, so any one text will do
-        words = docs.select(key.alias("key"), F.col("text")).groupBy("key").agg(F.first("text").alias("text"))
-        documents = placed.join(words.hint("merge"), "key")
+    if text:  # rows of equal key are copies of one another, so any one text will do; it is shuffled packed
+        words = small_batches(docs).select(key.alias("key"), _udf(_pack, "binary")("text").alias("packed"))
+        words = words.groupBy("key").agg(F.first("packed").alias("packed"))
+        documents = placed.join(words.hint("merge"), "key").withColumn("text", _udf(_unpack, "string")("packed"))
     return Mix(documents, src.select("src", "source_size", "target", "n_blocks"),
                _slots(spark, np.array(slots, np.int64), n_blocks, sum(size), seed), block, placed)
 
@@ -210,10 +230,10 @@ def _cut(plan: Mix) -> DataFrame:
     block, found = plan.block, re.compile(WORD)
 
     def cut(batches: Iterator[tuple]) -> Iterator[pa.Array]:
-        for text, start in batches:
+        for data, start in batches:
             out = []
-            for t, at in zip(text.to_pylist(), start.to_pylist()):
-                words, parts = found.findall(t or ""), []
+            for x, at in zip(data.to_pylist(), start.to_pylist()):
+                words, parts = found.findall("" if x is None else unpacked(x).decode()), []
                 first = 0
                 while first < len(words):
                     index = (at + first) // block
@@ -223,9 +243,9 @@ def _cut(plan: Mix) -> DataFrame:
                 out.append(parts)
             yield pa.array(out, pa.list_(pa.struct([("block", pa.int64()), ("part", pa.string())])))
 
-    parts = F.arrow_udf(tidy(cut), _PIECES, F.ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    parts = _udf(cut, _PIECES)
     small_batches(plan.documents)
-    rows = plan.documents.select("src", "bucket", "row", "start", F.explode(parts("text", "start")).alias("piece"))
+    rows = plan.documents.select("src", "bucket", "row", "start", F.explode(parts("packed", "start")).alias("piece"))
     return rows.select("src", "bucket", "row", "start", "piece.block", "piece.part")
 
 

@@ -1,10 +1,13 @@
 """What the operators shuffle: arrays of keys, places of lines that others repeat, texts that lost lines."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from stratus.llm import line_dedup
+from stratus.llm import common, line_dedup, mixing
 
 
 def test_bucket_keys_travel_in_ranges(monkeypatch):
@@ -48,3 +51,49 @@ def test_lines_are_normalised_by_text_as_one_by_one():
         lines, number = line_dedup.normalised_lines(text)
         alone = [(i, x) for i, x in enumerate(map(line_dedup.normalised, text.split(b"\n"))) if x]
         assert list(zip(number, lines)) == alone
+
+
+def nodes(plan, kind):
+    """Nodes of an optimized plan by name."""
+    found = [plan] if plan.nodeName() == kind else []
+    for i in range(plan.children().size()):
+        found += nodes(plan.children().apply(i), kind)
+    return found
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan()
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_only_texts_that_lost_lines_are_joined(spark, monkeypatch, limit):
+    # Both sides of the bound that decides between a broadcast and a shuffle.
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(line_dedup, "small_or_shuffled", lambda df: common.small_or_shuffled(df, limit))
+    own = [hashlib.sha256(bytes([i])).hexdigest() for i in range(60)]  # like no other
+    rows = [(i, f"{x[:30]}é\n\n{x[30:]}", i % 3) for i, x in enumerate(own)]
+    rows[40:50] = [(i, f"a line that many texts share\n{own[i]}", None) for i in range(40, 50)]
+    rows += [(100, "a line that many texts share", 1), (101, None, 2), (102, "", 3), (103, " \n", 4), (None, "A  line that many texts share", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `n.x` long")
+    out = line_dedup.without_repeated_lines(docs)
+    joins = [j for j in nodes(optimized(out), "Join") if "packed" in j.schema().simpleString()]
+    assert joins and not any("text:string" in j.schema().simpleString() for j in nodes(optimized(out), "Join"))
+    want = {(i, t, x) for i, t, x in rows if i not in (100, None)}
+    want = {(i, t.split("\n")[1] if i is not None and 40 < i < 50 else t, x) for i, t, x in want}
+    got = out.collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and out.columns == docs.columns
+
+
+def test_mixing_shuffles_packed_texts(spark):
+    rows = [(i, f"s{i % 3}", None if i % 10 == 0 else f"wörd{i} " * (i % 50)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    plan = mixing.mix(docs, text=True)
+    moved = [a for a in nodes(optimized(plan.documents), "Aggregate") if "packed" in a.schema().simpleString()]
+    assert moved and not any("text" in a.schema().simpleString() for a in moved)
+    assert {r["doc_id"]: r["text"] for r in plan.documents.collect()} == {i: t for i, _, t in rows}
+    assert mixing.taken(plan, mixing.shards(plan)).agg(F.sum("taken")).first()[0] > 0
+
+
+def test_packed_texts_read_back():
+    for text in (b"", "é 日本".encode() * 3, b"x" * 100_000):
+        assert common.unpacked(common.packed(text)) == text
